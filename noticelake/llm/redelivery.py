@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -54,8 +54,8 @@ def _signed(x: int) -> int:
     return x - _SIGNED if x >= _SIGNED >> 1 else x
 
 
-def records(bronze: DataFrame) -> DataFrame:
-    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text, '' if none), content (its hash, null if none), stored and probed (segment keys)."""
+def records(bronze: DataFrame, with_text: bool = True) -> DataFrame:
+    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text, '' if none; null unless ``with_text``), content (its hash, null if none), stored and probed (segment keys)."""
     names = ["ingest_id", "oid", "at", "text", "content", "stored", "probed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +67,7 @@ def records(bronze: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *b.columns[:3],
-                    pa.array(texts, pa.string()),
+                    pa.array(texts if with_text else [None] * len(texts), pa.string()),
                     pa.array([xxhash.xxh128_hexdigest(t.encode()) if t else None for t in texts], pa.string()),
                     pa.array([[_signed(x) for x in s + h] for (s, _), h in zip(keys, head, strict=True)], longs),
                     pa.array([[_signed(x) for x in p + h] for (_, p), h in zip(keys, head, strict=True)], longs),
@@ -91,7 +91,18 @@ def _groups(r: DataFrame) -> DataFrame:
     return r.select("ingest_id", F.explode(F.filter(F.concat(by_id, by_text), lambda g: g.isNotNull())).alias("group"))
 
 
-def _near(r: DataFrame) -> DataFrame:
+def page_texts(bronze: DataFrame, ids: DataFrame) -> DataFrame:
+    """(ingest_id, at, text) of the given ingest_ids alone: only their pages are read as text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([page_text(x) if x else "" for x in b.column(2).to_pylist()], pa.string())], ["ingest_id", "at", "text"])
+
+    some = bronze.select("ingest_id", iso_nanos("publicationDate").alias("at"), "htmlBody").join(small(ids), "ingest_id", "left_semi")
+    return some.mapInArrow(run, "ingest_id bigint, at bigint, text string")
+
+
+def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(a, b), a < b: deliveries published close together whose texts are at most EDITS apart, or one of which is a cut-off copy of the other.
 
     Of equal texts of one time the first stands for all. Segments are stored under both buckets of the time they were published in
@@ -106,7 +117,7 @@ def _near(r: DataFrame) -> DataFrame:
     b = keyed.where("not kept").select("key", F.col("ingest_id").alias("b"))
     pairs = cut(a.join(b, "key").where("a < b").select("a", "b").distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("ingest_id")).distinct()
-    texts = cut(r.select("ingest_id", "at", "text").join(small(ids), "ingest_id", "left_semi"))
+    texts = cut(texts_of(ids))
     p = pairs.join(texts.select(F.col("ingest_id").alias("a"), F.col("text").alias("ta"), F.col("at").alias("at_a")), "a").join(texts.select(F.col("ingest_id").alias("b"), F.col("text").alias("tb"), F.col("at").alias("at_b")), "b")
     p = p.where(F.abs(F.col("at_a") - F.col("at_b")) <= APART * SECOND)
     short = F.least(F.length("ta"), F.length("tb"))
@@ -119,12 +130,12 @@ def _unended(text: Column) -> Column:
     return ~F.right(text, F.lit(16)).rlike(r"[.?!][\"”»')\]]*$|\d{4}-\d{2}-\d{2}$")
 
 
-def link(r: DataFrame) -> DataFrame:
+def link(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(ingest_id, first_id) of the deliveries that share a version with another: the smallest ingest_id of each set of linked records.
 
-    Labels go through the groups until none changes; only groups of two and more take part, so that the loop works on the repeated deliveries alone.
+    ``r`` has the columns of ``records`` but for the text, which ``texts_of`` gives for the ingest_ids that need it. Labels go through the groups until none changes; only groups of two and more take part, so that the loop works on the repeated deliveries alone.
     """
-    near = _near(r)
+    near = _near(r, texts_of)
     g = _groups(r).unionByName(near.select(F.xxhash64(F.lit("near"), "a", "b").alias("group"), F.explode(F.array("a", "b")).alias("ingest_id")))
     several = g.groupBy("group").agg(F.count("*").alias("n"), F.min("ingest_id").alias("least"), F.max("ingest_id").alias("most")).where("least < most").select("group")
     g = cut(g.join(several, "group", "left_semi").distinct())
@@ -144,7 +155,8 @@ def redelivered(bronze: DataFrame) -> DataFrame:
     texts at most EDITS edits apart (or cut off) published at most APART seconds apart, whatever their ids. Blank ids and missing
     bodies link by what else there is; records with neither are never linked. Repeated ingest_ids count once.
     """
-    return link(records(bronze)).where("ingest_id <> first_id").select(F.col("first_id").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
+    keys = cut(records(bronze, with_text=False).drop("text"))
+    return link(keys, lambda ids: page_texts(bronze, ids)).where("ingest_id <> first_id").select(F.col("first_id").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
 
 
 def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str) -> DataFrame:
@@ -162,7 +174,7 @@ def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str) -> Data
         days = [r.day for r in new.select(F.explode(F.array("day", F.col("day") - 1, F.col("day") + 1)).alias("day")).distinct().collect()]
         old = spark.read.parquet(store).where(F.col("day").isin(days))
         every = every.unionByName(old.select(*every.columns))
-    linked = link(every)
+    linked = link(every.drop("text"), lambda ids: every.select("ingest_id", "at", "text").join(small(ids), "ingest_id", "left_semi"))
     # a known record stands for the first record it was linked to
     first = linked.join(every.select("ingest_id", "known_first"), "ingest_id").groupBy("first_id").agg(F.min(F.coalesce("known_first", "ingest_id")).alias("first"))
     result = cut(new.select("ingest_id").join(linked, "ingest_id").join(first, "first_id").select("ingest_id", "first"))
