@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticelake.functions.text import blank, fold, squeeze, strip
-from noticelake.runtime import small
+from noticelake.functions.text import blank, fold, let, squeeze, strip
+from noticelake.runtime import BROADCAST_ROWS, cut
 
 #: Typing errors a town may have; a swap of neighbours is one error.
 TOWN_ERRORS = 2
@@ -40,54 +40,60 @@ def probes(s: Column, lengths: Column, n: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(lengths, lambda length: F.flatten(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda no: of(no, length))))))
 
 
-def errors(a: Column, b: Column, most: int) -> Column:
-    """Typing errors between two strings, at most ``most``, else null: edits by levenshtein, where one swap of neighbours counts 1."""
-    plain = F.levenshtein(a, b, 2 * most)
+def errors(a: Column, b: Column, edits: Column) -> Column:
+    """Typing errors between two strings that are ``edits`` (at most 4) apart by levenshtein, where one swap of neighbours counts 1; null for more than 2.
+
+    An edit more than two apart is explained by one swap and an edit, or by two swaps, or not at all.
+    """
     swapped = lambda i: F.concat(F.substring(a, F.lit(1), i - 1), F.substring(a, i + 1, F.lit(1)), F.substring(a, i, F.lit(1)), F.substring(a, i + 2, F.length(a)))
-    places = F.filter(F.sequence(F.lit(0), F.length(a) - 1), lambda i: i > 0)
-    near = lambda s: F.levenshtein(s, b, 2 * most)
-    one = F.array_min(F.transform(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(a, i + 1, F.lit(1))), lambda i: F.when(near(swapped(i)) >= 0, near(swapped(i)) + 1)))
-    best = F.when(plain <= 1, plain).otherwise(F.least(F.when(plain >= 0, plain), one))
-    if most >= 2:  # two swaps: four edits at once, of the same letters
-        two = (plain > 2) & (F.array_sort(F.split(a, "")) == F.array_sort(F.split(b, "")))
-        twice = F.transform(places, lambda i: F.exists(places, lambda j: (j > i) & (F.concat(F.substring(swapped(i), F.lit(1), j - 1), F.substring(swapped(i), j + 1, F.lit(1)), F.substring(swapped(i), j, F.lit(1)), F.substring(swapped(i), j + 2, F.length(a))) == b)))
-        best = F.when(F.coalesce(best <= most, F.lit(False)), best).when(two & F.exists(twice, lambda x: x), 2).otherwise(best)
-    return F.when(plain >= 0, F.when(best <= most, best))
-
-
-def pigeonhole_join(values: DataFrame, aliases: DataFrame, most: int) -> DataFrame:
-    """(form, ref_id, err) of all pairs of a ``form`` of ``values`` and an ``alias`` of ``aliases`` at most ``most`` typing errors apart.
-
-    A swap costs two edits, so 2·most edits must be caught: aliases are cut into 2·most+1 segments, of which one survives
-    untouched; forms probe the substrings that may equal it. The equality join is on (alias length, segment number, piece).
-    The aliases are broadcast only if they are few (counted).
+    left = F.transform(F.filter(F.sequence(F.lit(0), F.length(a) - 1), lambda i: i > 0), lambda i: F.levenshtein(swapped(i), b, 2))
+    letters = lambda x: F.array_sort(F.split(x, ""))
+
+    def least(d: Column) -> Column:
+        return F.when(F.array_contains(d, 0), 1).when((edits == 2) | F.array_contains(d, 1), 2).when(F.array_contains(d, 2) & (letters(a) == letters(b)), 2)
+
+    return F.when(edits <= 1, edits).otherwise(let(left, least))
+
+
+#: Edits that two typing errors may cost, a swap costing two; and segments of which one survives them.
+REACH, SEGMENTS = 4, 5
+
+
+def pigeonhole_join(forms: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(kind, form, ref_id, err) of all pairs of a form and an alias of one kind that are at most two typing errors apart.
+
+    Aliases are cut into segments of which one survives REACH edits untouched; forms probe the substrings that may equal it. The
+    equality join is on (kind, alias length, segment number, piece).
     """
-    n = 2 * most + 1
-    index = aliases.select("ref_id", "alias", F.length("alias").alias("len"), F.inline(segments(F.col("alias"), n))).select("ref_id", "alias", "len", "no", "piece")
+    index = aliases.select("kind", "ref_id", "alias", F.length("alias").alias("len"), F.inline(segments(F.col("alias"), SEGMENTS))).select("kind", "ref_id", "alias", "len", "no", "piece")
     size = F.length("form")
-    p = values.select("form").distinct().select("form", F.explode(probes(F.col("form"), F.sequence(F.greatest(F.lit(1), size - 2 * most), size + 2 * most), n)).alias("p")).select("form", "p.*")
-    pairs = p.join(small(index), ["len", "no", "piece"]).select("form", "ref_id", "alias").distinct()
-    return pairs.withColumn("err", errors(F.col("form"), F.col("alias"), most)).where("err is not null").groupBy("form", "ref_id").agg(F.min("err").alias("err"))
+    p = forms.select("kind", "form").distinct().select("kind", "form", F.explode(probes(F.col("form"), F.sequence(F.greatest(F.lit(1), size - REACH), size + REACH), SEGMENTS)).alias("p")).select("kind", "form", "p.*")
+    pairs = p.join(index, ["kind", "len", "no", "piece"]).select("kind", "form", "ref_id", "alias").distinct()
+    pairs = pairs.withColumn("edits", F.levenshtein("form", "alias", REACH)).where("edits >= 0").withColumn("err", errors(F.col("form"), F.col("alias"), F.col("edits")))
+    return pairs.where("err is not null").groupBy("kind", "form", "ref_id").agg(F.min("err").alias("err"))
 
 
-def map_values(values: DataFrame, aliases: DataFrame, most: int, short: int = 0) -> DataFrame:
-    """Map each ``value`` to the ``ref_id`` it means: (value, ref_id), -1 if none is.
+def map_values(values: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Map each typed value to the entry it means: (kind, value, ref_id), -1 if none is.
 
-    ``values`` has (value, forms): its normal forms, best first. ``aliases`` has (ref_id, alias). A form that equals an alias decides, the
-    first such form first; else the fewest typing errors (``most``; one less for forms under ``short`` letters) over all forms, if only
-    one ref_id has that few: ties between ref_ids are reported as unmatched. Null and empty forms match nothing. Values found by
-    neither way come from an anti-join and are never dropped.
+    ``values`` has (kind, value, forms, words, most): its normal forms, the best first, words that may name it by themselves, and the typing
+    errors it may have. ``aliases`` has (kind, ref_id, alias). A form that equals an alias decides, the first such form first; else the
+    fewest errors over all forms, if one entry alone has that few; else a word that equals aliases of one entry. Ties between
+    entries are reported as unmatched. Null and empty forms match nothing. What is found no way comes from an anti-join: no value is dropped.
     """
-    forms = values.select("value", F.posexplode("forms").alias("rank", "form")).where("form <> ''")
-    sure = aliases.groupBy("alias").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other")).where("ref_id = _other").drop("_other")
-    exact = forms.join(small(sure.withColumnRenamed("alias", "form")), "form").groupBy("value").agg(F.min_by("ref_id", "rank").alias("ref_id"))
-    exact_values = exact.select("value", "ref_id")
-    rest = forms.join(exact_values.select("value"), "value", "left_anti")
-    near = pigeonhole_join(rest, aliases, most).where((F.col("err") < most) | (F.length("form") >= short) if short else F.lit(True))
-    near = rest.join(near, "form").groupBy("value", "ref_id").agg(F.min("err").alias("err")).groupBy("value").agg(F.min(F.struct("err", "ref_id")).alias("b"), F.collect_set(F.struct("err", "ref_id")).alias("all"))
-    near = near.where(F.size(F.filter("all", lambda x: x["err"] == F.col("b.err"))) == 1).select("value", F.col("b.ref_id").alias("ref_id"))
-    found = exact_values.unionByName(near)
-    missed = values.select("value").distinct().join(found.select("value"), "value", "left_anti").select("value", F.lit(-1).cast("bigint").alias("ref_id"))
+    forms = values.select("kind", "value", "most", F.posexplode("forms").alias("rank", "form")).where("form <> ''")
+    sure = aliases.groupBy("kind", "alias").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other")).where("ref_id = _other").drop("_other")
+    exact = cut(forms.join(sure.withColumnRenamed("alias", "form"), ["kind", "form"]).groupBy("kind", "value").agg(F.min_by("ref_id", "rank").alias("ref_id")))
+    rest = cut(values.join(exact, ["kind", "value"], "left_anti"))
+    left = rest.select("kind", "value", "most", F.explode("forms").alias("form")).where("form <> ''")
+    near = left.join(pigeonhole_join(left, aliases), ["kind", "form"]).where(F.col("err") <= F.least(F.col("most"), F.length("form") - 2))
+    near = near.groupBy("kind", "value", "ref_id").agg(F.min("err").alias("err")).groupBy("kind", "value", "err").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other"))
+    near = near.groupBy("kind", "value").agg(F.min(F.struct("err", "ref_id", "_other")).alias("b")).where("b.ref_id = b._other").select("kind", "value", F.lit(1).alias("way"), "b.ref_id")
+    word = rest.select("kind", "value", F.explode("words").alias("alias")).join(sure, ["kind", "alias"]).groupBy("kind", "value").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other"))
+    word = word.where("ref_id = _other").select("kind", "value", F.lit(2).alias("way"), "ref_id")
+    found = exact.unionByName(near.unionByName(word).groupBy("kind", "value").agg(F.min_by("ref_id", "way").alias("ref_id")))
+    found = cut(found)
+    missed = rest.select("kind", "value").join(found, ["kind", "value"], "left_anti").withColumn("ref_id", F.lit(-1).cast("bigint"))
     return found.unionByName(missed)
 
 
@@ -143,20 +149,21 @@ def typed_places(envelope: DataFrame) -> DataFrame:
 
 
 def map_places(envelope: DataFrame, cities: DataFrame, countries: DataFrame) -> DataFrame:
-    """(object_id, field_name, contractor_no, ref_id) of every typed town and country that is not written exactly as in its list; -1 where none is meant."""
-    rows = typed_places(envelope)
+    """(object_id, field_name, contractor_no, ref_id) of every typed town and country that is not written exactly as in its list; -1 where none is meant.
+
+    Rows are mapped through their distinct values. The lists are broadcast only if they are few (counted).
+    """
+    few = cities.count() + countries.count() <= BROADCAST_ROWS
+    hint = F.broadcast if few else lambda x: x
     town = F.col("field_name") != "contractorCountry"
-    rows = rows.withColumn("kind", F.when(town, "town").otherwise("country"))
-    listed = cities.select(F.lit("town").alias("kind"), F.col("city_name").alias("value")).unionByName(countries.select(F.lit("country").alias("kind"), F.col("country_code").alias("value"))).distinct()
-    typed = rows.join(small(listed), ["kind", "value"], "left_anti")
-    distinct = typed.select("kind", "value").distinct()
-    towns = map_values(distinct.where("kind = 'town'").select("value", town_forms(F.col("value")).alias("forms")), town_aliases(cities), TOWN_ERRORS, short=4)
-    lands = country_aliases(countries)
-    c = distinct.where("kind = 'country'").select("value")
-    by_form = map_values(c.select("value", country_forms(F.col("value")).alias("forms")), lands, COUNTRY_ERRORS, short=4)
-    word = c.select("value", F.explode(country_words(F.col("value"))).alias("alias")).join(small(lands), "alias").groupBy("value").agg(F.min("ref_id").alias("_word"), F.max("ref_id").alias("_other")).where("_word = _other")
-    by_form = by_form.join(word, "value", "left").select("value", F.when(F.col("ref_id") >= 0, F.col("ref_id")).otherwise(F.coalesce("_word", "ref_id")).alias("ref_id"))
-    mapping = towns.withColumn("kind", F.lit("town")).unionByName(by_form.withColumn("kind", F.lit("country")))
+    rows = typed_places(envelope).withColumn("kind", F.when(town, "town").otherwise("country"))
+    listed = cities.select(F.lit("town").alias("kind"), F.col("city_name").alias("value")).unionByName(countries.select(F.lit("country").alias("kind"), F.col("country_code").alias("value")))
+    typed = rows.join(hint(listed), ["kind", "value"], "left_anti")
+    v = F.col("value")
+    is_town = F.col("kind") == "town"
+    values = cut(typed.select("kind", "value").distinct().select("kind", "value", F.when(is_town, town_forms(v)).otherwise(country_forms(v)).alias("forms"), F.when(is_town, F.array().cast("array<string>")).otherwise(country_words(v)).alias("words"), F.when(is_town, TOWN_ERRORS).otherwise(COUNTRY_ERRORS).alias("most")))
+    aliases = cut(town_aliases(cities).withColumn("kind", F.lit("town")).unionByName(country_aliases(countries).withColumn("kind", F.lit("country"))))
+    mapping = map_values(values, hint(aliases))
     return typed.join(mapping, ["kind", "value"]).select("object_id", "field_name", "contractor_no", "ref_id")
 
 
