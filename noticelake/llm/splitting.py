@@ -66,8 +66,8 @@ def pieces(e: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
     """(start_token, end_token, start_char, end_char, n_tokens, boundary) of the pieces of a text of more than ``limit`` tokens.
 
     A piece ends at the last boundary of the strongest kind that leaves it at least half full, else at the last weaker one, else
-    at the last character boundary (``hard``). The next piece starts ``overlap`` tokens before, or up to three more where that falls
-    inside a character. ``n_tokens`` is the size of the piece's own text and never exceeds ``limit``.
+    at the last character boundary (``hard``). The next piece starts ``overlap`` tokens before, at the last character
+    boundary before that where it falls inside one (without overlap if that would be no step forward, as with limits of a few tokens). ``n_tokens`` is the size of the piece's own text and never exceeds ``limit``.
     """
     if not 0 <= 2 * overlap < limit or limit < 8:
         raise ValueError("the overlap must be under half the limit, the limit at least 8")
@@ -95,7 +95,8 @@ def pieces(e: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
         out.append((s, end, m.at[s], m.at[end], n, kind))
         if end >= m.size:
             return out
-        s = max(m.legal(end - overlap), s + 1 if m.at[s + 1] >= 0 else m.legal(end))
+        back = m.legal(end - overlap)
+        s = back if back > s else end
 
 
 def split_corpus(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, vocabulary: str | None = None) -> DataFrame:
