@@ -80,7 +80,7 @@ def test_packing_places_every_token_once(spark):
     for r in got:
         have[r.doc_id] = have.get(r.doc_id, 0) + r.n_tokens
     assert have == {i: sum(n for j, n in want if j == i) for i, _ in want}
-    assert all(r.part_no == 1 for r in got if r.doc_id != 800)
+    assert all(r.part_no == 1 for r in got if have[r.doc_id] <= 256)
     rep = fill_report(spark.createDataFrame(got), 256).first()
     assert rep.n_items == len(got) and rep.fill > 0.9
     assert pack(spark.createDataFrame([], DOC)).count() == 0
