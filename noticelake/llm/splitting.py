@@ -21,8 +21,7 @@ class TokenMap:
     """Character offset of every token boundary of a text, and the token places of its natural boundaries."""
 
     def __init__(self, e: Encoder, text: str) -> None:
-        import regex
-
+        self.text, self.places = text, {}
         self.at = [0]  # character offset of each token boundary; -1 inside a character
         pre = e.split(text)
         starts: set[int] = set()
@@ -48,12 +47,17 @@ class TokenMap:
             self.at.append(pos)
             starts.add(len(self.at) - 1)
         self.size = len(self.at) - 1
-        whole = sorted(starts | {0})
-        offsets = [self.at[k] for k in whole]
-        self.natural = []
-        for rule in BOUNDARIES.values():  # sorted token places; a boundary inside a pre-token counts before it
-            ends = (m.end() for m in regex.finditer(rule, text))
-            self.natural.append(sorted({whole[bisect_right(offsets, x) - 1] for x in ends}))
+        self.whole = sorted(starts | {0})
+        self.offsets = [self.at[k] for k in self.whole]
+
+    def natural(self, kind: str) -> list[int]:
+        """Sorted token places of the boundaries of a kind, found when first asked for; one inside a pre-token counts before it."""
+        import regex
+
+        if kind not in self.places:
+            ends = (m.end() for m in regex.finditer(BOUNDARIES[kind], self.text))
+            self.places[kind] = sorted({self.whole[bisect_right(self.offsets, x) - 1] for x in ends})
+        return self.places[kind]
 
     def legal(self, k: int) -> int:
         """The last boundary at or before token ``k`` that is no inside of a character."""
@@ -72,7 +76,6 @@ def pieces(e: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
     if not 0 <= 2 * overlap < limit or limit < 8:
         raise ValueError("the overlap must be under half the limit, the limit at least 8")
     m, out, s = TokenMap(e, text), [], 0
-    names = list(BOUNDARIES)
     while True:
         room = limit
         while True:
@@ -81,7 +84,8 @@ def pieces(e: Encoder, text: str, limit: int, overlap: int) -> list[tuple[int, i
                 end, kind = m.size, "end"
             else:
                 end, kind = -1, "hard"
-                for name, places in zip(names, m.natural, strict=True):
+                for name in BOUNDARIES:
+                    places = m.natural(name)
                     i = bisect_right(places, most) - 1
                     if i >= 0 and places[i] > s + max(room // 2, overlap + 4):
                         end, kind = places[i], name

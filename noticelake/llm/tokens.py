@@ -72,9 +72,9 @@ class Encoder:
         self.split = regex.compile(PATTERN).findall
         self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.bytes_of = {c: b for b, c in self.letters.items()}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}  # tuples of numbers: the garbage collector passes them over
 
-    def pre_ids(self, pre: list[str]) -> list[list[int]]:
+    def pre_ids(self, pre: list[str]) -> list[tuple[int, ...]]:
         """Ids of each pre-token."""
         known = self.known
         new = [p for p in dict.fromkeys(pre) if p not in known]
@@ -83,7 +83,7 @@ class Encoder:
                 known.clear()
                 new = list(dict.fromkeys(pre))
             mapped = [p.encode().decode("latin-1").translate(self.letters) for p in new]
-            known.update(zip(new, self.sp.encode(mapped, out_type=int, num_threads=1), strict=True))
+            known.update(zip(new, map(tuple, self.sp.encode(mapped, out_type=int, num_threads=1)), strict=True))
         return [known[p] for p in pre]
 
     def encode(self, text: str | None) -> list[int]:
