@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import durations, identifiers
-from .text import blank, col, fold, squeeze, strip
+from .text import blank, col, fold, let, squeeze, strip
 
 
 class Parsed(NamedTuple):
@@ -32,23 +32,22 @@ def _found(x: Column) -> Column:
 
 
 def _strict(name: str, raw: Column, value: Column) -> Parsed:
-    bad = ~blank(raw) & value.isNull()
-    return Parsed(F.when(~blank(raw), value), F.when(bad, F.concat(F.lit(f"{name}: cannot read "), F.substring(raw, 1, 200))))
+    read = F.when(~blank(raw), value)
+    message = F.concat(F.lit(f"{name}: cannot read "), F.substring(raw, 1, 200))
+    return Parsed(read, F.when(~blank(raw) & read.isNull(), message))
 
 
 def _decimal(num: Column) -> Column:
     """A number with blanks and either separator as double; with both, dots separate thousands."""
-    n = F.regexp_replace(num, r"[ \x{a0}]", "")
-    n = F.when(n.contains(".") & n.contains(","), F.replace(n, F.lit("."), F.lit(""))).otherwise(n)
-    n = F.replace(n, F.lit(","), F.lit("."))
-    return F.when(n.rlike(r"\A(?:\d+\.?\d*|\.\d+)\z"), n.try_cast("double"))
+    one = lambda n: F.replace(F.when(n.contains(".") & n.contains(","), F.replace(n, F.lit("."), F.lit(""))).otherwise(n), F.lit(","), F.lit("."))
+    read = lambda n: F.when(n.rlike(r"\A(?:\d+\.?\d*|\.\d+)\z"), n.try_cast("double"))
+    return let(let(F.regexp_replace(num, r"[ \x{a0}]", ""), one), read)
 
 
 def pln_value(c: Column) -> Parsed:
     """Amount of money as double, its currency aside."""
-    s = strip(c)
-    num = strip(F.coalesce(_found(F.regexp_extract(s, _NUM, 1)), F.regexp_extract(s, r"\A([\d\s\x{a0},.]+)", 1)))
-    return _strict("parse_pln_value", col(c), _decimal(num))
+    num = let(strip(c), lambda s: F.coalesce(_found(F.regexp_extract(s, _NUM, 1)), F.regexp_extract(s, r"\A([\d\s\x{a0},.]+)", 1)))
+    return _strict("parse_pln_value", col(c), _decimal(strip(num)))
 
 
 def tak_nie(c: Column) -> Parsed:
