@@ -18,8 +18,8 @@ from noticelake.runtime import cut, small
 EDITS, APART = 2, 120
 #: Seconds that one objectId's publication may be written apart (texts cut to seconds).
 SAME_ID_APART = 5
-#: First letters that a cut-off text and its copy have in common.
-HEAD = 256
+#: Lengths of the beginnings by which cut-off texts are looked up: the least, and how many times longer each next one is.
+LEAST, STEP = 3, 4
 
 _BUCKET = 2 * APART * SECOND
 
@@ -47,6 +47,24 @@ def segment_keys(text: str, k: int) -> tuple[list[int], list[int]]:
     return store, list(probe)
 
 
+def beginning_keys(text: str, k: int) -> tuple[list[int], list[int]]:
+    """(keys of a text as the whole one, keys of it as one cut off): hashes of (length, segment number, piece) for the k+1 segments of its beginnings
+    of every length of the ladder, and for every substring that a segment of the beginning of the longest of these lengths it has may equal,
+    in a text that starts as it does but for k edits (of the first i segments with at most i errors, the last has none)."""
+    n, whole, own = k + 1, [], 0
+    key = lambda length, no, piece: xxhash.xxh64_intdigest(piece, (1 << 32) + length * n + no)
+    length = LEAST
+    while length <= len(text):
+        at, own = cuts(length, n), length
+        whole += [key(length, i, text[a:b].encode()) for i, (a, b) in enumerate(zip(at, at[1:], strict=False))]
+        length *= STEP
+    at, part = cuts(own, n), set()
+    for i in range(n if own else 0):
+        start, width = at[i], at[i + 1] - at[i]
+        part |= {key(own, i, text[p : p + width].encode()) for p in range(max(0, start - i), min(len(text) - width, start + i) + 1)}
+    return whole, list(part)
+
+
 _SIGNED = 1 << 64
 
 
@@ -55,22 +73,22 @@ def _signed(x: int) -> int:
 
 
 def records(bronze: DataFrame, with_text: bool = True) -> DataFrame:
-    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text, '' if none; null unless ``with_text``), content (its hash, null if none), stored and probed (segment keys)."""
+    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text, '' if none; null unless ``with_text``), content (its hash, null if none), stored and probed (segment keys; those of the beginnings are stored by the cut-off text and probed by the whole one)."""
     names = ["ingest_id", "oid", "at", "text", "content", "stored", "probed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [page_text(x) if x else "" for x in b.column(3).to_pylist()]
             keys = [segment_keys(t, EDITS) if len(t) > EDITS else ([], []) for t in texts]
-            head = [[xxhash.xxh64_intdigest(t[:HEAD].encode(), 1 << 32)] if len(t) >= HEAD else [] for t in texts]
+            starts = [beginning_keys(t, EDITS) for t in texts]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     *b.columns[:3],
                     pa.array(texts if with_text else [None] * len(texts), pa.string()),
                     pa.array([xxhash.xxh128_hexdigest(t.encode()) if t else None for t in texts], pa.string()),
-                    pa.array([[_signed(x) for x in s + h] for (s, _), h in zip(keys, head, strict=True)], longs),
-                    pa.array([[_signed(x) for x in p + h] for (_, p), h in zip(keys, head, strict=True)], longs),
+                    pa.array([[_signed(x) for x in s + c] for (s, _), (_, c) in zip(keys, starts, strict=True)], longs),
+                    pa.array([[_signed(x) for x in p + w] for (_, p), (w, _) in zip(keys, starts, strict=True)], longs),
                 ],
                 names,
             )
@@ -106,7 +124,8 @@ def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame
     """(a, b), a < b: deliveries published close together whose texts are at most EDITS apart, or one of which is a cut-off copy of the other.
 
     Of equal texts of one time the first stands for all. Segments are stored under both buckets of the time they were published in
-    and probed under one, so that texts repeated over the years never meet.
+    and probed under one, so that texts repeated over the years never meet. A text cut off so early that it fits unlike ones goes to
+    the likeliest (fewest edits, then nearest in time) and those alike to it.
     """
     first = r.where("content is not null and at is not null").groupBy("content", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed"), "ingest_id").alias("r")).select("r.*")
     slots = F.array_distinct(F.array(F.floor((F.col("at") - APART * SECOND) / _BUCKET), F.floor((F.col("at") + APART * SECOND) / _BUCKET)))
@@ -115,14 +134,25 @@ def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame
     keyed = cut(first.select("ingest_id", F.inline(sides)))
     a = keyed.where("kept").select("key", F.col("ingest_id").alias("a"))
     b = keyed.where("not kept").select("key", F.col("ingest_id").alias("b"))
-    pairs = cut(a.join(b, "key").where("a < b").select("a", "b").distinct())
+    pairs = cut(a.join(b, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("ingest_id")).distinct()
     texts = cut(texts_of(ids))
-    p = pairs.join(texts.select(F.col("ingest_id").alias("a"), F.col("text").alias("ta"), F.col("at").alias("at_a")), "a").join(texts.select(F.col("ingest_id").alias("b"), F.col("text").alias("tb"), F.col("at").alias("at_b")), "b")
-    p = p.where(F.abs(F.col("at_a") - F.col("at_b")) <= APART * SECOND)
-    short = F.least(F.length("ta"), F.length("tb"))
-    alike = F.levenshtein(F.substring("ta", F.lit(1), short), F.substring("tb", F.lit(1), short), EDITS) >= 0
-    return p.where(alike & ((F.length("ta") - F.length("tb")).between(-EDITS, EDITS) | _unended(F.when(F.length("ta") < F.length("tb"), F.col("ta")).otherwise(F.col("tb"))))).select("a", "b")
+    side = lambda x: texts.select(F.col("ingest_id").alias(x), F.col("text").alias(f"t{x}"), F.col("at").alias(f"at_{x}"))
+    p = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("apart", F.abs(F.col("at_a") - F.col("at_b"))).where(F.col("apart") <= APART * SECOND).withColumn("more", F.length("tb") - F.length("ta"))
+    by_length = lambda x, y: F.when(F.col("more") > 0, x).otherwise(y)
+    # cut before the filter, so that the edits are counted once
+    p = cut(p.select("a", "b", "apart", "more", _beginnings_apart(F.col("ta"), F.col("tb")).alias("edits"), _unended(by_length(F.col("ta"), F.col("tb"))).alias("unended"))).where("edits >= 0")
+    alike = F.col("more").between(-EDITS, EDITS)
+    off = p.where(~alike & F.col("unended")).select("a", "b", "edits", "apart", by_length(F.col("a"), F.col("b")).alias("part"), by_length(F.col("b"), F.col("a")).alias("whole"))
+    off = off.join(off.groupBy("part").agg(F.min_by("whole", F.struct("edits", "apart", "whole")).alias("likeliest")), "part")
+    others = off.where("whole <> likeliest").select("a", "b", "whole", "likeliest").join(side("whole"), "whole").join(side("likeliest"), "likeliest").where(_beginnings_apart(F.col("twhole"), F.col("tlikeliest")) >= 0)
+    return p.where(alike).unionByName(off.where("whole = likeliest"), allowMissingColumns=True).unionByName(others, allowMissingColumns=True).select("a", "b")
+
+
+def _beginnings_apart(a: Column, b: Column) -> Column:
+    """Edits between two texts over the length of the shorter one, -1 for more than EDITS."""
+    short = F.least(F.length(a), F.length(b))
+    return F.when(F.startswith(a, b) | F.startswith(b, a), 0).otherwise(F.levenshtein(F.substring(a, F.lit(1), short), F.substring(b, F.lit(1), short), EDITS))
 
 
 def _unended(text: Column) -> Column:

@@ -1,6 +1,6 @@
 import random
 
-from noticelake.llm.redelivery import deduplicate_batch, redelivered, segment_keys
+from noticelake.llm.redelivery import beginning_keys, deduplicate_batch, redelivered, segment_keys
 
 SCHEMA = "ingest_id bigint, objectId string, publicationDate string, htmlBody string, text string, at string"
 
@@ -45,3 +45,30 @@ def test_batches_give_the_same_as_all_at_once(spark, tmp_path):
     for k in range(0, 12, 3):
         got += [tuple(r) for r in deduplicate_batch(spark, spark.createDataFrame(d[k : k + 3], SCHEMA), store).collect()]
     assert sorted(got) == sorted(WANT)
+
+
+def test_beginnings_meet_within_the_edits():
+    rnd = random.Random(4)
+    for _ in range(2000):
+        t = "".join(rnd.choice("abc") for _ in range(rnd.randint(3, 60)))
+        n = rnd.randint(3, len(t))
+        s = list(t[:n])
+        for _ in range(rnd.randint(0, 2)):
+            s[rnd.randrange(n)] = rnd.choice("abcx")
+        if n > 3 and rnd.random() < 0.3:
+            i = rnd.randrange(n - 1)
+            s = [*t[:i], "x", *t[i : n - 1]]
+        assert set(beginning_keys(t, 2)[0]) & set(beginning_keys("".join(s), 2)[1])
+
+
+def test_copies_cut_off_early_or_with_an_edit_near_the_start(spark, rows):
+    rnd = random.Random(5)
+    a, b, c, d = (body(rnd) for _ in range(4))
+    cut = lambda x, n: x[: x.index("<p>") + 3 + n]
+    same, at = c[: c.index("<p>") + 3 + 150], "2026-01-0{}T10:00:{}Z".format
+    data = [
+        (1, "a", at(1, "00"), a, None, ""), (2, "b", at(1, "40"), cut(a, 150), None, ""), (3, "c", at(2, "00"), cut(b, 10), None, ""), (4, " ", at(2, "40"), b, None, ""),
+        (5, "e", at(3, "00"), c, None, ""), (6, "f", at(3, "10"), cut(c, 300).replace("<p>", "<p>x", 1), None, ""),
+        (7, "g", at(4, "00"), c, None, ""), (8, "h", at(4, "30"), same + d[d.index("<p>") + 3 :], None, ""), (9, "i", at(4, "40"), cut(c, 120), None, ""), (10, "j", at(5, "00"), d, None, ""),
+    ]
+    assert rows(redelivered(spark.createDataFrame(data, SCHEMA))) == sorted([(1, 2), (3, 4), (5, 6), (8, 9)], key=repr)
