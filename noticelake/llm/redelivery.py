@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from noticelake.functions.instants import SECOND, iso_nanos
 from noticelake.functions.keys import object_key
 from noticelake.llm.pages import page_text
+from noticelake.llm.truncation import looks_cut, unmarked
 from noticelake.runtime import cut, small
 
 #: Edits that two deliveries of one text may differ by, and seconds that their publication may be written apart.
@@ -72,20 +73,27 @@ def _signed(x: int) -> int:
     return x - _SIGNED if x >= _SIGNED >> 1 else x
 
 
+def _read(bodies: pa.Array) -> tuple[list[str], list[bool]]:
+    """Texts of pages without a cutter's mark, '' for none; and if their own ends show a cut."""
+    pages = [(x, page_text(x)) if x else ("", "") for x in bodies.to_pylist()]
+    return [unmarked(t) for _, t in pages], [bool(t) and looks_cut(x, t) for x, t in pages]
+
+
 def records(bronze: DataFrame, with_text: bool = True) -> DataFrame:
-    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text, '' if none; null unless ``with_text``), content (its hash, null if none), stored and probed (segment keys; those of the beginnings are stored by the cut-off text and probed by the whole one)."""
-    names = ["ingest_id", "oid", "at", "text", "content", "stored", "probed"]
+    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text without a cutter's mark, '' if none; null unless ``with_text``), shown (true if the page's own end shows a cut), content (the text's hash, null if none), stored and probed (segment keys; those of the beginnings are stored by the cut-off text and probed by the whole one)."""
+    names = ["ingest_id", "oid", "at", "text", "shown", "content", "stored", "probed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [page_text(x) if x else "" for x in b.column(3).to_pylist()]
+            texts, shown = _read(b.column(3))
             keys = [segment_keys(t, EDITS) if len(t) > EDITS else ([], []) for t in texts]
-            starts = [beginning_keys(t, EDITS) for t in texts]
+            starts = [(w, c if cut_off else []) for (w, c), cut_off in zip((beginning_keys(t, EDITS) for t in texts), shown, strict=True)]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     *b.columns[:3],
                     pa.array(texts if with_text else [None] * len(texts), pa.string()),
+                    pa.array(shown, pa.bool_()),
                     pa.array([xxhash.xxh128_hexdigest(t.encode()) if t else None for t in texts], pa.string()),
                     pa.array([[_signed(x) for x in s + c] for (s, _), (_, c) in zip(keys, starts, strict=True)], longs),
                     pa.array([[_signed(x) for x in p + w] for (_, p), (w, _) in zip(keys, starts, strict=True)], longs),
@@ -94,7 +102,7 @@ def records(bronze: DataFrame, with_text: bool = True) -> DataFrame:
             )
 
     r = bronze.select("ingest_id", object_key("objectId").alias("oid"), iso_nanos("publicationDate").alias("at"), "htmlBody")
-    return r.mapInArrow(run, "ingest_id bigint, oid string, at bigint, text string, content string, stored array<bigint>, probed array<bigint>")
+    return r.mapInArrow(run, "ingest_id bigint, oid string, at bigint, text string, shown boolean, content string, stored array<bigint>, probed array<bigint>")
 
 
 def _buckets(at: Column, width: int) -> Column:
@@ -110,24 +118,26 @@ def _groups(r: DataFrame) -> DataFrame:
 
 
 def page_texts(bronze: DataFrame, ids: DataFrame) -> DataFrame:
-    """(ingest_id, at, text) of the given ingest_ids alone: only their pages are read as text."""
+    """(ingest_id, at, text, shown) of the given ingest_ids alone: only their pages are read as text."""
+    names = ["ingest_id", "at", "text", "shown"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([page_text(x) if x else "" for x in b.column(2).to_pylist()], pa.string())], ["ingest_id", "at", "text"])
+            texts, shown = _read(b.column(2))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(texts, pa.string()), pa.array(shown, pa.bool_())], names)
 
     some = bronze.select("ingest_id", iso_nanos("publicationDate").alias("at"), "htmlBody").join(small(ids), "ingest_id", "left_semi")
-    return some.mapInArrow(run, "ingest_id bigint, at bigint, text string")
+    return some.mapInArrow(run, "ingest_id bigint, at bigint, text string, shown boolean")
 
 
 def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(a, b), a < b: deliveries published close together whose texts are at most EDITS apart, or one of which is a cut-off copy of the other.
 
-    Of equal texts of one time the first stands for all. Segments are stored under both buckets of the time they were published in
+    Of equal texts of one time the first stands for all, apart by whether their pages show a cut. Segments are stored under both buckets of the time they were published in
     and probed under one, so that texts repeated over the years never meet. A text cut off so early that it fits unlike ones goes to
     the likeliest (fewest edits, then nearest in time) and those alike to it.
     """
-    first = r.where("content is not null and at is not null").groupBy("content", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed"), "ingest_id").alias("r")).select("r.*")
+    first = r.where("content is not null and at is not null").groupBy("content", "shown", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed"), "ingest_id").alias("r")).select("r.*")
     slots = F.array_distinct(F.array(F.floor((F.col("at") - APART * SECOND) / _BUCKET), F.floor((F.col("at") + APART * SECOND) / _BUCKET)))
     # one pass over the representatives gives both sides, told apart by a flag
     sides = F.flatten(F.array(F.flatten(F.transform(slots, lambda s: F.transform("stored", lambda k: F.struct(F.xxhash64(k, s).alias("key"), F.lit(True).alias("kept"))))), F.transform("probed", lambda k: F.struct(F.xxhash64(k, F.floor(F.col("at") / _BUCKET)).alias("key"), F.lit(False).alias("kept")))))
@@ -137,13 +147,13 @@ def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame
     pairs = cut(a.join(b, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     ids = pairs.select(F.explode(F.array("a", "b")).alias("ingest_id")).distinct()
     texts = cut(texts_of(ids))
-    side = lambda x: texts.select(F.col("ingest_id").alias(x), F.col("text").alias(f"t{x}"), F.col("at").alias(f"at_{x}"))
+    side = lambda x: texts.select(F.col("ingest_id").alias(x), F.col("text").alias(f"t{x}"), F.col("at").alias(f"at_{x}"), F.col("shown").alias(f"shown_{x}"))
     p = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("apart", F.abs(F.col("at_a") - F.col("at_b"))).where(F.col("apart") <= APART * SECOND).withColumn("more", F.length("tb") - F.length("ta"))
     by_length = lambda x, y: F.when(F.col("more") > 0, x).otherwise(y)
     # cut before the filter, so that the edits are counted once
-    p = cut(p.select("a", "b", "apart", "more", _beginnings_apart(F.col("ta"), F.col("tb")).alias("edits"), _unended(by_length(F.col("ta"), F.col("tb"))).alias("unended"))).where("edits >= 0")
+    p = cut(p.select("a", "b", "apart", "more", _beginnings_apart(F.col("ta"), F.col("tb")).alias("edits"), by_length(F.col("shown_a"), F.col("shown_b")).alias("shown"))).where("edits >= 0")
     alike = F.col("more").between(-EDITS, EDITS)
-    off = p.where(~alike & F.col("unended")).select("a", "b", "edits", "apart", by_length(F.col("a"), F.col("b")).alias("part"), by_length(F.col("b"), F.col("a")).alias("whole"))
+    off = p.where(~alike & F.col("shown")).select("a", "b", "edits", "apart", by_length(F.col("a"), F.col("b")).alias("part"), by_length(F.col("b"), F.col("a")).alias("whole"))
     off = off.join(off.groupBy("part").agg(F.min_by("whole", F.struct("edits", "apart", "whole")).alias("likeliest")), "part")
     others = off.where("whole <> likeliest").select("a", "b", "whole", "likeliest").join(side("whole"), "whole").join(side("likeliest"), "likeliest").where(_beginnings_apart(F.col("twhole"), F.col("tlikeliest")) >= 0)
     return p.where(alike).unionByName(off.where("whole = likeliest"), allowMissingColumns=True).unionByName(others, allowMissingColumns=True).select("a", "b")
@@ -155,11 +165,6 @@ def _beginnings_apart(a: Column, b: Column) -> Column:
     return F.when(F.startswith(a, b) | F.startswith(b, a), 0).otherwise(F.levenshtein(F.substring(a, F.lit(1), short), F.substring(b, F.lit(1), short), EDITS))
 
 
-def _unended(text: Column) -> Column:
-    """True if a text doesn't stop at the end of a sentence or with a date, as a copy cut off wouldn't."""
-    return ~F.right(text, F.lit(16)).rlike(r"[.?!][\"”»')\]]*$|\d{4}-\d{2}-\d{2}$")
-
-
 def link(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(ingest_id, first_id) of the deliveries that share a version with another: the smallest ingest_id of each set of linked records.
 
@@ -204,7 +209,7 @@ def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str) -> Data
         days = [r.day for r in new.select(F.explode(F.array("day", F.col("day") - 1, F.col("day") + 1)).alias("day")).distinct().collect()]
         old = spark.read.parquet(store).where(F.col("day").isin(days))
         every = every.unionByName(old.select(*every.columns))
-    linked = link(every.drop("text"), lambda ids: every.select("ingest_id", "at", "text").join(small(ids), "ingest_id", "left_semi"))
+    linked = link(every.drop("text"), lambda ids: every.select("ingest_id", "at", "text", "shown").join(small(ids), "ingest_id", "left_semi"))
     # a known record stands for the first record it was linked to
     first = linked.join(every.select("ingest_id", "known_first"), "ingest_id").groupBy("first_id").agg(F.min(F.coalesce("known_first", "ingest_id")).alias("first"))
     result = cut(new.select("ingest_id").join(linked, "ingest_id").join(first, "first_id").select("ingest_id", "first"))

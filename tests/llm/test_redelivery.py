@@ -72,3 +72,15 @@ def test_copies_cut_off_early_or_with_an_edit_near_the_start(spark, rows):
         (7, "g", at(4, "00"), c, None, ""), (8, "h", at(4, "30"), same + d[d.index("<p>") + 3 :], None, ""), (9, "i", at(4, "40"), cut(c, 120), None, ""), (10, "j", at(5, "00"), d, None, ""),
     ]
     assert rows(redelivered(spark.createDataFrame(data, SCHEMA))) == sorted([(1, 2), (3, 4), (5, 6), (8, 9)], key=repr)
+
+
+def test_copies_cut_at_a_mark_or_after_a_full_stop(spark, rows):
+    rnd, at = random.Random(6), "2026-01-0{}T10:00:{}Z".format
+    data = []
+    for k, end in enumerate([" [...]</p></body></html>", "...</p></body></html>", "… </p></body></html>", " (dalej)</p></body></html>", ". ", ".</p></body></html>"]):
+        a = body(rnd)
+        half = a[: a.index("<p>") + 3 + 300]
+        whole = half + ". " + a[len(half) :]
+        data += [(2 * k + 1, f"a{k}", at(k + 1, "00"), whole, None, ""), (2 * k + 2, f"b{k}", at(k + 1, "40"), half + end, None, "")]
+    # the last, closed and without a mark, is a version of its own
+    assert rows(redelivered(spark.createDataFrame(data, SCHEMA))) == sorted([(2 * k + 1, 2 * k + 2) for k in range(5)], key=repr)
