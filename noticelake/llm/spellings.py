@@ -9,8 +9,8 @@ from noticelake.functions.text import blank, fold, let
 from noticelake.llm.canonical import probes, segments
 from noticelake.runtime import cut
 
-#: Edits within one word, and names that a word may occur in before it tells no name apart unless all words of a name are as common.
-EDITS, COMMON = 2, 64
+#: Edits within one word, letters of a word that can tell a name, and names that may explain a word up to which it is looked up beside the rarest.
+EDITS, TELLING, COMMON = 2, 4, 64
 #: Log-likelihoods: of one edit, of a word cut short or written by initials, of a word left out.
 EDIT, SHORT, OMITTED = -2.5, -1.0, -0.5
 
@@ -89,31 +89,56 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     return pairs.unionByName(vocabulary.select("t", F.col("t").alias("u"))).distinct()
 
 
+def marks(w: Column) -> Column:
+    """What a name of words ``w`` can explain words by: its words, ``^`` and the first letter of each, ``#`` and each run of up to five initials (the empty one too)."""
+    first = F.transform(w, lambda t: F.substring(t, 1, 1))
+    initials = F.array_join(first, "")
+    runs = F.transform(F.sequence(F.lit(1), F.size(w)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(5)), lambda k: F.concat(F.lit("#"), F.substring(initials, i, k))))
+    return F.array_distinct(F.concat(w, F.transform(first, lambda x: F.concat(F.lit("^"), x)), F.flatten(runs)))
+
+
+def explaining(vocabulary: DataFrame) -> DataFrame:
+    """(t, mark) of every word and each mark of a name that may explain it: all that ``word_fit`` accepts but a bare initial for a whole word, and no frequency left out."""
+    letters = vocabulary.where(F.col("t").rlike(r"^\p{L}+$"))
+    near = near_words(letters.where(F.length("t") >= 3))
+    longer = letters.where(F.length("t") > 3).select(F.col("t").alias("u"), F.explode(F.transform(F.sequence(F.lit(3), F.length("t") - 1), lambda k: F.substring(F.col("t"), F.lit(1), k))).alias("t"))
+    longer = longer.join(letters, "t").select("t", "u")
+    own = F.when(F.col("t").endswith("_"), F.array("t", F.concat(F.lit("^"), F.substring("t", 1, 1)))).otherwise(F.array("t"))
+    runs = F.when(F.col("t").rlike(r"^\p{L}{2,5}$"), F.array(F.concat(F.lit("#"), "t"), F.concat(F.lit("#"), F.replace("t", F.lit("i"), F.lit(""))))).otherwise(F.array().cast("array<string>"))
+    alone = vocabulary.select("t", F.explode(F.concat(own, runs)).alias("u"))
+    return near.unionByName(longer).unionByName(longer.select(F.col("u").alias("t"), F.col("t").alias("u"))).unionByName(alone).select("t", F.col("u").alias("mark")).distinct()
+
+
+def shared(s: Column, c: Column) -> Column:
+    """True if two names share a telling word at most EDITS edits apart, or all words."""
+    tell = lambda ws: F.filter(ws, lambda w: (F.length(w) >= TELLING) & ~w.rlike(r"\p{N}|_"))
+    return (F.array_sort(s) == F.array_sort(c)) | F.arrays_overlap(tell(s), tell(c)) | F.exists(tell(s), lambda t: F.exists(tell(c), lambda u: F.levenshtein(t, u, EDITS) >= 0))
+
+
 def attribute(names: DataFrame) -> DataFrame:
     """(name, root): each spelling with the canonical one it is attributed to, itself if none.
 
     Frequent and complete spellings are the candidates: those with more words, or as many and a higher count (ties by name). A spelling goes
     to the candidate of greatest posterior, log count plus the log-likelihoods of its edits, short forms and omissions, if the
     candidate explains every word and number of it; from there on to that one's own. Candidates share a telling word at most
-    EDITS edits apart (words in COMMON names at most, or at most four times as many as the name's rarest) or all words.
+    EDITS edits apart or all words. As a candidate explains every word of a spelling, it is looked up by the
+    rarest one, the word that the fewest names may explain (typos count as what they may be), and by those at most four times as
+    common, among all words of all names, however common. The rarest must not be explained by a bare initial alone.
     """
     n = cut(names.select("name", "freq", words(F.col("name")).alias("w")).where(F.size("w") > 0).withColumn("id", F.xxhash64("name")))
-    each = n.select("id", F.explode(F.array_distinct("w")).alias("t")).where((F.length("t") >= 4) & ~F.col("t").rlike(r"\p{N}|_"))
-    df = each.groupBy("t").agg(F.count("*").alias("df"))
-    telling = each.join(df, "t")
-    rarest = telling.groupBy("id").agg(F.min("df").alias("least"))
-    telling = cut(telling.join(rarest, "id").where(F.col("df") <= F.greatest(F.lit(COMMON), 4 * F.col("least"))).select("id", "t"))
-    near = near_words(telling.select("t").distinct())
-    a = telling.select(F.col("id").alias("s"), "t").join(near, "t").select("s", "u").join(telling.select(F.col("id").alias("c"), F.col("t").alias("u")), "u").select("s", "c")
-    whole = n.select("id", F.xxhash64(F.array_sort("w")).alias("k"))
-    group = whole.groupBy("k").agg(F.min("id").alias("g"))
-    b = whole.join(group, "k").where("id <> g")
-    b = b.select(F.col("id").alias("s"), F.col("g").alias("c")).unionByName(b.select(F.col("g").alias("s"), F.col("id").alias("c")))
-    pairs = a.unionByName(b).where("s <> c").distinct()
+    each = n.select("id", F.explode("w").alias("t"))
+    marked = cut(n.select("id", F.explode(marks(F.col("w"))).alias("mark")))
+    df = marked.groupBy("mark").agg(F.count("*").alias("df"))
+    by = cut(explaining(each.select("t").distinct()).join(df, "mark"))
+    reach = by.groupBy("t").agg(F.sum("df").alias("reach"))
+    each = each.join(reach, "t")
+    least = each.groupBy("id").agg(F.min("reach").alias("least"))
+    rarest = each.join(least, "id").where(F.col("reach") <= F.greatest(F.lit(COMMON), 4 * F.col("least"))).select("id", "t")
+    pairs = rarest.withColumnRenamed("id", "s").join(by.select("t", "mark"), "t").join(marked.withColumnRenamed("id", "c"), "mark").where("s <> c").select("s", "c").distinct()
     side = lambda p: n.select(F.col("id").alias(p), F.col("w").alias(f"w{p}"), F.col("freq").alias(f"f{p}"), F.col("name").alias(f"n{p}"))
     p = pairs.join(side("s"), "s").join(side("c"), "c")
     rank = lambda x: F.struct(F.size(f"w{x}"), F.col(f"f{x}"), F.col(f"n{x}"))
-    p = p.where(rank("c") > rank("s")).withColumn("fit", name_fit(F.col("ws"), F.col("wc"))).where("fit is not null")
+    p = p.where(rank("c") > rank("s")).withColumn("fit", name_fit(F.col("ws"), F.col("wc"))).where(F.col("fit").isNotNull() & shared(F.col("ws"), F.col("wc")))
     # of as many words, each must explain the other: a short form may hide in a telling word
     p = p.where((F.size("ws") < F.size("wc")) | name_fit(F.col("wc"), F.col("ws")).isNotNull())
     best = p.groupBy("s").agg(F.max_by("c", F.struct(F.log("fc") + F.col("fit"), F.col("fc"), F.col("nc"))).alias("c"))

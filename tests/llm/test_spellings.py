@@ -1,4 +1,4 @@
-from noticelake.llm.spellings import entities, same_names
+from noticelake.llm.spellings import attribute, entities, same_names
 
 SCHEMA = "objectId string, organizationName string, contractors array<struct<contractorName:string,contractorNationalId:string>>, name string, root string"
 GROUPS = [
@@ -29,3 +29,13 @@ def test_entities_and_empty(spark, rows):
     e = {r.name: (r.canonical, r.n_spellings) for r in entities(envelope(spark)).collect()}
     assert e["PPH Danakowiramed"][1] == 6 and e["Gmina Ala"][1] == 2 and e["Agencja Mienia Komunalnego Zorzyn"] == ("Agencja Mienia Komunalnego Zorzyn", 1)
     assert same_names(envelope(spark).limit(0)).count() == 0
+
+
+def test_common_words_still_link(spark, rows):
+    people = ["".join(chr(97 + (k // 26**j + i * i * (k + 3)) % 26) for i, j in enumerate((0, 1, 0, 1, 0, 1, 0, 1, 0))) for k in range(450)]
+    names = [f"Zakład Stolarski {p}" for p in people] + [f"Zakład Stolarski Elżbieta Leporanuczyk {k}" for k in range(90)] + [f"Zakład Ślusarski Marzena {p}" for p in people[:100]]
+    whole, other = "Zakład Stolarski Elżbieta Leporanuczyk", "Zakład Stolarski Marzena Kwiatuszyńska"
+    data = [(n, 2) for n in names] + [(whole, 999), ("Zkaład Stolarski Elżbieta Leporanuczyk", 1), (other, 9), ("Zakład Stolarski Marzena", 1)]
+    root = dict(rows(attribute(spark.createDataFrame(data, "name string, freq bigint"))))
+    assert root["Zkaład Stolarski Elżbieta Leporanuczyk"] == root[whole]
+    assert root["Zakład Stolarski Marzena"] == root[other] == other
