@@ -125,6 +125,17 @@ def id_pesel(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("o_orderkey").alias("id"), identifiers.is_pesel(F.concat(F.date_format("o_orderdate", "yyMMdd"), F.right(F.concat(F.lit("00000"), F.col("o_orderkey").cast("string")), F.lit(5)))).alias("valid"))
 
 
+@_query(
+    "WITH t AS (SELECT o_orderkey AS id, concat(strftime(o_orderdate, '%y'), lpad(CAST(month(o_orderdate) + CASE WHEN year(o_orderdate) >= 2000 THEN 20 ELSE 0 END AS VARCHAR), 2, '0'), strftime(o_orderdate, '%d'), right(concat('00000', CAST(o_orderkey AS VARCHAR)), 5)) AS d FROM orders), "
+    f"u AS (SELECT id, d, (10 - {_weighted('d', identifiers.PESEL_WEIGHTS)} % 10) % 10 = CAST(substr(d, 11, 1) AS INT) AS valid FROM t) SELECT id, valid FROM u"
+)
+def id_pesel_centuries(spark: SparkSession, d: str) -> DataFrame:
+    """As id_pesel, over all orders: the month carries the century from 2000 on."""
+    month = F.lpad((F.month("o_orderdate") + F.when(F.year("o_orderdate") >= 2000, 20).otherwise(0)).cast("string"), 2, "0")
+    digits = F.concat(F.date_format("o_orderdate", "yy"), month, F.date_format("o_orderdate", "dd"), F.right(F.concat(F.lit("00000"), F.col("o_orderkey").cast("string")), F.lit(5)))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), identifiers.is_pesel(digits).alias("valid"))
+
+
 @_query()
 def id_classify(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "common_envelope").select(F.explode("contractors").alias("c")).select("c.contractorNationalId").where("contractorNationalId is not null").distinct()

@@ -25,3 +25,10 @@ def test_equals_sql(spark, name):
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({entry.oracle_sql()[name]})").fetchall()
     got = [tuple(r) for r in df.select(*cols).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+@pytest.mark.skipif(not SF.exists(), reason="no test data")
+def test_pesel_over_all_orders(spark):
+    test_equals_sql(spark, "id_pesel_centuries")
+    df = entry.queries()["id_pesel_centuries"](spark, str(SF))
+    assert df.count() == spark.read.parquet(f"{SF}/orders.parquet").count()
