@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 import base64
+import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Pre-tokens whose ids a worker remembers; when full it starts afresh.
-REMEMBER = 400_000
+#: Words and pre-tokens whose ids a worker remembers, of each; when full it starts afresh.
+REMEMBER = 300_000
+#: Characters that are looked up at a time, and tokens of a batch that is handed on.
+GROUP, BATCH = 2_000_000, 4_000_000
+
+_BLANKS, _CUT = re.compile(r" (?:\s|\Z)"), re.compile(r" (?=\S)")
 
 # Fixed value: the vocabulary's public pre-token pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -61,37 +68,94 @@ def sentencepiece_model(vocabulary: bytes) -> bytes:
     return b"".join(pieces) + _field(2, trainer) + _field(3, normalizer)
 
 
+def _starts(ids: Iterable[bytes]) -> bytes:
+    return b"".join(b"\1" + bytes(len(x) // 4 - 1) for x in ids)
+
+
+def _groups(texts: Sequence[str | None]) -> Iterator[list[str]]:
+    """Texts, '' for null, in groups of about GROUP characters."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t or "")
+        size += len(some[-1])
+        if size >= GROUP:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 class Encoder:
-    """Encodes and decodes texts; ids are those of the vocabulary, without special tokens."""
+    """Encodes and decodes texts; ids are those of the vocabulary, without special tokens.
+
+    A text is cut before every space that a letter, digit or sign follows: no pre-token reaches over such a place, and none depends on what lies
+    beyond it. What lies between, mostly a word with its space and punctuation, is encoded by its pre-tokens once and remembered as packed ids.
+    """
 
     def __init__(self, model: bytes) -> None:
         import regex
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.split = regex.compile(PATTERN).findall
+        self.scan = regex.compile(PATTERN)
+        self.split = self.scan.findall
         self.letters = {b: c for b, c in enumerate(byte_letters())}
         self.bytes_of = {c: b for b, c in self.letters.items()}
-        self.known: dict[str, tuple[int, ...]] = {}  # tuples of numbers: the garbage collector passes them over
-
-    def pre_ids(self, pre: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token."""
-        known = self.known
-        new = [p for p in dict.fromkeys(pre) if p not in known]
+        #: Bytes of each token.
+        self.widths = np.fromiter(map(len, self.sp.id_to_piece(list(range(self.sp.get_piece_size())))), np.int32)
+        self.pre: dict[str, bytes] = {}  # pre-token -> ids
+        self.words: dict[str, bytes] = {}  # word after a space -> ids
+        self.starts: dict[str, bytes] = {}  # word after a space -> 1 for each id that starts a pre-token, else 0
+
+    def pre_ids(self, pre: Sequence[str]) -> list[bytes]:
+        """Packed ids of each pre-token."""
+        known = self.pre
+        new = list(set(pre).difference(known))
         if new:
             if len(known) + len(new) > REMEMBER:
                 known.clear()
-                new = list(dict.fromkeys(pre))
+                new = list(set(pre))
             mapped = [p.encode().decode("latin-1").translate(self.letters) for p in new]
-            known.update(zip(new, map(tuple, self.sp.encode(mapped, out_type=int, num_threads=1)), strict=True))
+            # a call with a list starts threads, which a few short strings don't pay for
+            ids = map(self.sp.encode, mapped) if len(mapped) < 16 else self.sp.encode(mapped, out_type=int, num_threads=1)
+            known.update((p, struct.pack(f"{len(x)}i", *x)) for p, x in zip(new, ids, strict=True))
         return [known[p] for p in pre]
 
+    def _parts(self, texts: Sequence[str]) -> list[tuple[list[bytes], list[str]]]:
+        """For each text the ids of the pre-tokens before the first cut and the words after each cut, which are known from now on."""
+        cut = [_CUT.split(t) if _BLANKS.search(t) else t.split(" ") for t in texts]
+        heads = [self.split(c.pop(0)) for c in cut]
+        new = set(chain.from_iterable(cut)).difference(self.words)
+        if len(self.words) + len(new) > REMEMBER:
+            self.words.clear()
+            self.starts.clear()
+            new = set(chain.from_iterable(cut))
+        split = [self.split(" " + w) for w in new]
+        ids = iter(self.pre_ids(list(chain.from_iterable(chain(heads, split)))))
+        first = [list(islice(ids, len(h))) for h in heads]
+        for w, pre in zip(new, split, strict=True):
+            each = list(islice(ids, len(pre)))
+            self.words[w], self.starts[w] = b"".join(each), _starts(each)
+        return list(zip(first, cut, strict=True))
+
+    def packed(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """Ids of each text as packed 32-bit integers; null and empty texts have none."""
+        for some in _groups(texts):
+            for head, words in self._parts(some):
+                yield b"".join((*head, *map(self.words.__getitem__, words)))
+
+    def marked(self, texts: Sequence[str | None]) -> Iterator[tuple[bytes, bytes]]:
+        """``packed`` and, for each id, 1 if it starts a pre-token, else 0."""
+        for some in _groups(texts):
+            for head, words in self._parts(some):
+                yield b"".join((*head, *map(self.words.__getitem__, words))), b"".join((_starts(head), *map(self.starts.__getitem__, words)))
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text; null and empty texts have none."""
-        return [i for ids in self.pre_ids(self.split(text)) for i in ids] if text else []
+        return np.frombuffer(next(self.packed([text])), np.int32).tolist()
 
     def size(self, text: str | None) -> int:
-        return sum(map(len, self.pre_ids(self.split(text)))) if text else 0
+        return sum(map(len, self.pre_ids(self.split(text)))) // 4 if text else 0
 
     def token_bytes(self, i: int) -> bytes:
         return bytes(self.bytes_of[c] for c in self.sp.id_to_piece(i))
@@ -126,10 +190,22 @@ def encode_corpus(documents: DataFrame, vocabulary: str | None = None) -> DataFr
     """
     encoder = shipped(documents, vocabulary)
 
+    def lists(docs: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
+        return pa.RecordBatch.from_arrays([docs, pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "ids"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder()
         for b in batches:
-            ids = pa.array([e.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids], ["doc_id", "ids"])
+            ids, first, size = [], 0, 0
+            for x in e.packed(b.column(1).to_pylist()):
+                ids.append(x)
+                size += len(x) // 4
+                if size >= BATCH:
+                    yield lists(b.column(0).slice(first, len(ids)), ids)
+                    ids, first, size = [], first + len(ids), 0
+            if ids:
+                yield lists(b.column(0).slice(first, len(ids)), ids)
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")
