@@ -9,7 +9,7 @@ from hypothesis import strategies as st  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from noticelake.llm.packing import Packer, fill_report, hilbert_key, pack  # noqa: E402
-from noticelake.llm.splitting import pieces, split_corpus  # noqa: E402
+from noticelake.llm.splitting import TokenMap, pieces, split_corpus  # noqa: E402
 from noticelake.llm.tokens import Encoder, default_vocabulary, encode_corpus, sentencepiece_model  # noqa: E402
 
 ENCODER = Encoder(sentencepiece_model(Path(default_vocabulary()).read_bytes()))
@@ -39,7 +39,9 @@ def test_odd_texts_and_corpus(spark):
 @given(st.lists(st.sampled_from(["słowo ", "Zdanie. ", "\n\n", "linia\n", "x" * 40, "中国語", "👩‍👧", "1,2; ", "  "]), min_size=10, max_size=150), st.integers(24, 80), st.integers(0, 3))
 def test_pieces_cover_stay_under_the_limit_and_overlap(parts, limit, overlap):
     text, overlap = "".join(parts), min(overlap, limit // 2 - 1)
-    out = pieces(ENCODER, text, limit, overlap)
+    m = TokenMap(ENCODER, text, *next(ENCODER.marked([text])))
+    assert m.size == ENCODER.size(text)
+    out = pieces(m, limit, overlap)
     assert out[0][2] == 0 and out[-1][3] == len(text)
     for (s, e, a, z, n, _), nxt in zip(out, [*out[1:], None], strict=True):
         assert n == ENCODER.size(text[a:z]) <= limit and s < e
