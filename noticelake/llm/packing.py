@@ -15,10 +15,8 @@ from noticelake.runtime import cut
 
 #: Tokens of a container, and documents looked at at a time along the curve.
 CAPACITY, WINDOW = 2048, 4096
-#: Containers that stay open from one window to the next; the fullest are closed beyond it.
-OPEN = 512
-
-DIMS, BITS, FEATURES = 3, 10, 1 << 16
+#: Dimensions of the curve, bits of a coordinate, and features that tokens are hashed to.
+DIMS, BITS, FEATURES = 3, 10, 1 << 12
 
 
 def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -54,6 +52,11 @@ def projection() -> np.ndarray:
     return np.random.default_rng(7).choice(np.array([-1.0, 1.0]), (FEATURES, DIMS))
 
 
+def hashed(ids: np.ndarray) -> np.ndarray:
+    """The feature of each token id: its top bits after multiplication by an odd number near 2**32 divided by the golden ratio."""
+    return (ids.astype(np.uint64) * np.uint64(2654435769) % np.uint64(1 << 32)) >> np.uint64(32 - FEATURES.bit_length() + 1)
+
+
 def grid(total: np.ndarray, size: int) -> list[int]:
     """A document's projected token counts, scaled by its length, as a cell of the grid."""
     z = total / np.sqrt(max(size, 1)) / 4
@@ -70,13 +73,14 @@ def sized_documents(documents: DataFrame, capacity: int = CAPACITY, vocabulary:
     names = ["doc_id", "part_no", "start_token", "n_tokens", "hilbert"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, axes = encoder(), projection()
+        e = encoder()
+        axes = projection()[hashed(np.arange(len(e.widths)))]
         for b in batches:
             docs, sizes, cells = b.column(0).to_pylist(), [], []
-            for text in b.column(1).to_pylist():
-                ids = np.asarray(e.encode(text), np.int64)
+            for packed in e.packed(b.column(1).to_pylist()):
+                ids = np.frombuffer(packed, np.int32)
                 sizes.append(len(ids))
-                cells.append(grid(axes[ids % FEATURES].sum(axis=0), len(ids)))
+                cells.append(grid(axes[ids].sum(axis=0), len(ids)))
             if docs:
                 keys = hilbert_key(np.asarray(cells)).tolist()
                 rows = [(d, k + 1, s, min(capacity, n - s), h) for d, n, h in zip(docs, sizes, keys, strict=True) for k, s in enumerate(range(0, max(n, 1), capacity))]
@@ -86,26 +90,32 @@ def sized_documents(documents: DataFrame, capacity: int = CAPACITY, vocabulary:
 
 
 class Packer:
-    """Best fit, largest first, over one window of neighbours at a time; containers with room stay open for the next window."""
+    """Best fit, largest first, over one window of neighbours at a time; every container with room stays open for the next windows."""
 
     def __init__(self, capacity: int, first: int) -> None:
-        self.capacity, self.next, self.open = capacity, first, []  # open: sorted (room, container)
+        self.capacity, self.next = capacity, first
+        self.boxes: dict[int, list[int]] = {}  # room -> containers that have just that
+        self.rooms: list[int] = []  # its keys, sorted: at most ``capacity`` of them, however many containers are open
 
     def window(self, items: list[tuple]) -> Iterator[tuple]:
         """(container, offset, item) for each (size, …) item."""
         for item in sorted(items, key=lambda x: -x[0]):
-            i = bisect_left(self.open, (item[0], -1))
-            if item[0] == self.capacity or i == len(self.open):
+            i = bisect_left(self.rooms, item[0])
+            if item[0] == self.capacity or i == len(self.rooms):
                 room, box = self.capacity, self.next
                 self.next += 1
             else:
-                room, box = self.open.pop(i)
+                room = self.rooms[i]
+                box = self.boxes[room].pop()
+                if not self.boxes[room]:
+                    del self.boxes[room], self.rooms[i]
             yield box, self.capacity - room, item
-            if room > item[0]:
-                insort(self.open, (room - item[0], box))
-        full = len(self.open) - OPEN
-        if full > 0:
-            del self.open[:full]
+            left = room - item[0]
+            if left in self.boxes:
+                self.boxes[left].append(box)
+            elif left:
+                self.boxes[left] = [box]
+                insort(self.rooms, left)
 
 
 def pack(documents: DataFrame, capacity: int = CAPACITY, window: int = WINDOW, vocabulary: str | None = None) -> DataFrame:
