@@ -32,6 +32,10 @@ def p4_share(spark: SparkSession, d: str) -> DataFrame:
     return truncation.truncation_share(table(spark, d, "bronze_notices"))
 
 
+def p4_evidence(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.evidence_report(table(spark, d, "bronze_notices"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return spellings.same_names(table(spark, d, "common_envelope"))
 
@@ -77,6 +81,6 @@ def p10_report(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_corpus(table(spark, d, "documents")).groupBy("boundary").agg(F.count("*").alias("n_pieces"), F.max("n_tokens").alias("most_tokens"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_share, p6_found, p6_entities, p7_found, p7_batches, p8_ids, p9_pack, p9_fill, p10_split, p10_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_share, p4_evidence, p6_found, p6_entities, p7_found, p7_batches, p8_ids, p9_pack, p9_fill, p10_split, p10_report)}
 
 SQL: dict[str, str] = {}

@@ -1,6 +1,7 @@
 import random
 
-from noticelake.llm.truncation import looks_cut, strict_prefixes, truncated, truncation_share
+from noticelake.llm.truncation import evidence, evidence_report, looks_cut, sentences, strict_prefixes, truncated, truncation_share, unfinished, unmarked
+from noticelake.llm.pages import page_text
 
 SCHEMA = "ingest_id bigint, feed_source string, htmlBody string, text string"
 
@@ -31,5 +32,25 @@ def test_cases(spark, rows):
     assert truncated(b.limit(0)).count() == 0
 
 
+def test_words_that_go_on_elsewhere_match_brute_force(spark):
+    rnd = random.Random(3)
+    word = lambda: rnd.choice(["umowa", "umowy", "umów", "art. 5", "dni", "dnia", "kary", "nr 7", "nr 12", "Zob", "i"])
+    texts = [" ".join(word() for _ in range(rnd.randint(1, 9))) + rnd.choice([".", "", "", "…", ". Dalej jest", "�"]) for _ in range(500)]
+    got = {r.ingest_id: r for r in evidence(spark.createDataFrame([(i, None, page(t), None) for i, t in enumerate(texts)], SCHEMA).repartition(5)).collect()}
+    places = set()
+    for t in texts:
+        for ws in sentences(unmarked(page_text(page(t)))):
+            for j, w in enumerate(ws):
+                places |= {(tuple(ws[max(0, j - 2) : j]), w[:k]) for k in range(1, len(w) + (j + 1 < len(ws)))}
+    for i, t in enumerate(texts):
+        full = page_text(page(t))
+        text = unmarked(full)
+        ws = sentences(text)[-1] if text != full or unfinished(full) else []
+        want = bool(ws) and (tuple(ws[-3:-1]), ws[-1]) in places
+        assert (got[i].words if i in got else False) == want, t
+    r = evidence_report(spark.createDataFrame([(1, None, page("Ala ma kota."), None), (2, None, page("Ala ma ko"), None), (3, None, page("Obca tre"), None)], SCHEMA)).first()
+    assert (r.n_found, r.by_copy, r.by_words, r.by_prefix, r.end_only) == (2, 1, 1, 1, 1)
+
+
 def test_abbreviations_end_no_sentence():
     assert looks_cut(page("x"), "Zgodnie z art.") and not looks_cut(page("x"), "z dnia 5 r..") and not looks_cut(page("x"), "pok. 334.")
