@@ -11,7 +11,7 @@ from noticelake.runtime import table
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     t = lambda n: table(spark, d, n)
-    return change_feed.current_sections(t("notice_update_core"), t("notice_update_part_part")).select("bzp_number", "section_number", "object_id", "part_ordinal", "part_part_ordinal")
+    return change_feed.current_sections(t("notice_update_core"), t("notice_update_part_part"), ()).select("bzp_number", "section_number", "object_id", "part_ordinal", "part_part_ordinal")
 
 
 def p1_contents(spark: SparkSession, d: str) -> DataFrame:
@@ -21,6 +21,13 @@ def p1_contents(spark: SparkSession, d: str) -> DataFrame:
     return r.select("bzp_number", "section_number", F.length("after").cast("bigint").alias("n_chars"), F.sha2("after", 256).alias("content_hash"))
 
 
+def p1_images(spark: SparkSession, d: str) -> DataFrame:
+    """What the feed's own before- and after-images leave of every section, by hash."""
+    t = lambda n: table(spark, d, n)
+    r = change_feed.section_images(t("notice_update_core"), t("notice_update_part_part"))
+    return r.select("bzp_number", "section_number", F.sha2("image", 256).alias("image_hash"), "n")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     t = lambda n: table(spark, d, n)
     return references.notice_orphans(t("notice_update_core"), t("common_envelope"), t("procedure_register"), t("withdrawn_keys"))
@@ -42,7 +49,7 @@ def p5_contractors(spark: SparkSession, d: str) -> DataFrame:
     return t.select("ingest_id", F.col("ordinals")[0].cast("bigint").alias("ordinal"), "contractorName", "contractorCity", "contractorProvince", "contractorCountry", "contractorNationalId")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_contents, p3_found, p3_report, p5_found, p5_contractors)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_contents, p1_images, p3_found, p3_report, p5_found, p5_contractors)}
 
 _NANOS = r"(epoch_us(try_cast(regexp_replace({0}, '[.][0-9]+', '') AS TIMESTAMPTZ)) * 1000 + CAST(rpad(regexp_extract({0}, '[.]([0-9]+)', 1), 9, '0') AS BIGINT))"
 _NUMBER = r"nullif(regexp_replace(regexp_extract(upper({0}), '(\d{{4}}[\s\x{{a0}}]*/[\s\x{{a0}}]*BZP[\s\x{{a0}}]*\d{{8}})', 1), '^(\d{{4}}).*(\d{{8}})$', '\1/BZP \2'), '')"
@@ -61,6 +68,17 @@ ranked AS (
   FROM items JOIN head USING (objectId) WHERE bzp_number IS NOT NULL AND section_number IS NOT NULL)
 """
 
+_EDGE = r"nullif(regexp_replace({0}, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g'), '')"
+_IMAGES = rf"""
+, feed AS (
+  SELECT DISTINCT bzp_number, section_number, at_ns, i.objectId, i.part_ordinal, i.part_part_ordinal, {_EDGE.format("section_3_4_1_before")} AS before,
+    CASE WHEN lower(change_op) IN ('d', 'delete', 'usunięcie') OR (change_op IS NULL AND coalesce({_BLANK.format("section_3_4_1_after")}, true)) THEN NULL ELSE {_EDGE.format("section_3_4_1_after")} END AS after
+  FROM (SELECT *, nullif(regexp_replace(regexp_extract(section_3_4_1_label, '\d+([\s\x{{a0}}]*[.][\s\x{{a0}}]*\d+)+', 0), '[\s\x{{a0}}]', '', 'g'), '') AS section_number FROM notice_update_part_part) i JOIN head USING (objectId)
+  WHERE bzp_number IS NOT NULL AND section_number IS NOT NULL),
+first AS (SELECT bzp_number, section_number, before FROM (SELECT *, row_number() OVER (PARTITION BY bzp_number, section_number ORDER BY at_ns NULLS FIRST, part_ordinal NULLS FIRST, part_part_ordinal NULLS FIRST, objectId, before NULLS FIRST) AS rn FROM feed) WHERE rn = 1),
+signed AS (SELECT bzp_number, section_number, before AS image, 1 AS k FROM first UNION ALL SELECT bzp_number, section_number, before, -1 FROM feed UNION ALL SELECT bzp_number, section_number, after, 1 FROM feed)
+SELECT bzp_number, section_number, sha256(image) AS image_hash, CAST(sum(k) AS BIGINT) AS n FROM signed WHERE image IS NOT NULL GROUP BY bzp_number, section_number, image HAVING sum(k) > 0
+"""
 _KEY = _NUMBER
 _ORPHANS = rf"""
 WITH notices AS (SELECT coalesce({_KEY.format("bzpNumber")}, upper(trim(bzpNumber))) AS key, min({_NANOS.format("publicationDate")}) AS from_ns FROM common_envelope GROUP BY 1),
@@ -80,6 +98,7 @@ cases AS (
 SQL = {
     "p1_found": _CHANGES + "SELECT bzp_number, section_number, object_id, part_ordinal, part_part_ordinal FROM ranked WHERE rn = 1 AND NOT gone",
     "p1_contents": _CHANGES + "SELECT bzp_number, section_number, CAST(length(after) AS BIGINT) AS n_chars, sha256(after) AS content_hash FROM ranked WHERE rn = 1 AND NOT gone",
+    "p1_images": _CHANGES + _IMAGES,
     "p3_found": _ORPHANS + "SELECT DISTINCT source_table, object_id, period, orphan_kind FROM cases WHERE orphan_kind IS NOT NULL",
     "p3_report": _ORPHANS + "SELECT source_table, period, orphan_kind, count(DISTINCT object_id) AS n_orphans FROM cases WHERE orphan_kind IS NOT NULL GROUP BY ALL",
     "p5_contractors": """
