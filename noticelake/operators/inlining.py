@@ -16,35 +16,73 @@ from noticelake.functions.text import let, section_key
 
 @dataclass
 class Relation:
-    """A table of the flat schema: ``path`` of the repeated element (() for the root), the leaves inlined into it and its child tables."""
+    """A table of the flat schema: ``path`` of the element (() for the root), the leaves inlined into it and its child tables."""
 
     name: str
     path: tuple[str, ...] = ()
     leaves: list[tuple[str, ...]] = field(default_factory=list)
     children: list[Relation] = field(default_factory=list)
+    kind: str = "array"  # how the element is held: array, map or single (a shared struct)
     scalar: bool = False  # the element itself is a value, in column ``value``
+    table: str = ""  # the table its rows belong to, where several relations share one
+
+    def every(self) -> list[Relation]:
+        return [self, *(r for c in self.children for r in c.every())]
+
+
+def _structs(kind: T.DataType) -> list[T.StructType]:
+    """All struct types within a type, itself included."""
+    if isinstance(kind, T.StructType):
+        return [kind, *(s for f in kind.fields for s in _structs(f.dataType))]
+    if isinstance(kind, T.ArrayType):
+        return _structs(kind.elementType)
+    return [*_structs(kind.keyType), *_structs(kind.valueType)] if isinstance(kind, T.MapType) else []
 
 
 def schema_graph(schema: T.StructType, name: str = "root") -> Relation:
-    """The relations of a schema: structs are inlined into their parent, every array of structs or values becomes a table of its own."""
-    rel = Relation(name)
+    """The relations of a schema. Structs with one place are inlined into their parent; every array and map becomes a table of its own, and so does every struct
+    that is shared: held at more than one place of the graph.
 
-    def walk(s: T.StructType, into: Relation, at: tuple[str, ...]) -> None:
+    ``table`` is equal for the places of one shared struct, and for elements that recur within themselves (a repeated field below one of its own name, as in a tree of
+    items kept to some depth); else it is the relation's name.
+    """
+    rel = Relation(name, table=name)
+    seen: dict[str, int] = {}
+    for s in _structs(schema)[1:]:
+        seen[s.simpleString()] = seen.get(s.simpleString(), 0) + 1
+    shared: dict[str, str] = {}  # struct held at several places -> its table
+
+    def place(into: Relation, path: tuple[str, ...], element: T.DataType, kind: str, above: tuple[Relation, ...]) -> None:
+        label = "_".join(path)
+        child = Relation(label if into is rel else f"{into.name}_{label}", path, kind=kind)
+        into.children.append(child)
+        again = next((a for a in above if kind != "single" and a.path and a.path[-1] == path[-1]), None)
+        child.table = again.table if again else child.name
+        if kind == "map":
+            child.leaves.append(("key",))
+            element = T.StructType([T.StructField("value", element)])
+        if isinstance(element, T.StructType):
+            if again is None and seen.get(element.simpleString(), 0) > 1:
+                child.table = shared.setdefault(element.simpleString(), child.name)
+            walk(element, child, (), (*above, child))
+        else:
+            child.scalar = True
+
+    def walk(s: T.StructType, into: Relation, at: tuple[str, ...], above: tuple[Relation, ...]) -> None:
         for f in s.fields:
             kind, path = f.dataType, (*at, f.name)
-            if isinstance(kind, T.StructType):
-                walk(kind, into, path)
-            elif isinstance(kind, T.ArrayType):
-                child = Relation(f"{into.name}_{'_'.join(path)}" if into is not rel else "_".join(path), path)
-                into.children.append(child)
-                if isinstance(kind.elementType, T.StructType):
-                    walk(kind.elementType, child, ())
-                else:
-                    child.scalar = True
+            if isinstance(kind, T.ArrayType):
+                place(into, path, kind.elementType, "array", above)
+            elif isinstance(kind, T.MapType):
+                place(into, path, kind.valueType, "map", above)
+            elif isinstance(kind, T.StructType) and seen[kind.simpleString()] > 1:
+                place(into, path, kind, "single", above)
+            elif isinstance(kind, T.StructType):
+                walk(kind, into, path, above)
             else:
                 into.leaves.append(path)
 
-    walk(schema, rel, ())
+    walk(schema, rel, (), ())
     return rel
 
 
@@ -57,16 +95,20 @@ def _at(c: Column, path: tuple[str, ...]) -> Column:
 def shared_inline(df: DataFrame, key: str, graph: Relation | None = None) -> dict[str, DataFrame]:
     """Flat tables of ``df`` by relation name; ``root`` holds the inlined leaves.
 
-    Each child table has ``key``, ``ordinals`` (place from 1 in every repeated element above it and in its own), so that
+    Each child table has ``key``, ``ordinals`` (place from 1 in every repeated element above it and in its own; a shared struct adds none), so that
     (key, all but the last ordinal) is the foreign key to its parent, and its leaves, named by their path joined with ``_``.
-    Null arrays give no rows, null elements a row of nulls. Nothing is shuffled: rows stay where they are read.
+    Null and empty arrays and maps give no rows, null elements a row of nulls, a null shared struct none. Nothing is shuffled: rows stay where they are read.
     """
     graph = graph or schema_graph(T.StructType([f for f in df.schema.fields if f.name != key]))
     name = lambda path: "_".join(path)
     out = {graph.name: df.select(key, *[_at(F.col(p[0]), p[1:]).alias(name(p)) for p in graph.leaves])}
 
     def down(parent: DataFrame, rel: Relation, get: Callable[[tuple[str, ...]], Column]) -> None:
-        rows = parent.select(key, "_ords", F.posexplode(get(rel.path)).alias("_i", "_e")).withColumn("_ords", F.concat("_ords", F.array(F.col("_i") + 1)))
+        held = get(rel.path)
+        if rel.kind == "single":
+            rows = parent.select(key, "_ords", held.alias("_e")).where("_e is not null")
+        else:
+            rows = parent.select(key, "_ords", F.posexplode(F.map_entries(held) if rel.kind == "map" else held).alias("_i", "_e")).withColumn("_ords", F.concat("_ords", F.array(F.col("_i") + 1)))
         leaves = [F.col("_e").alias("value")] if rel.scalar else [_at(F.col("_e"), p).alias(name(p)) for p in rel.leaves]
         out[rel.name] = rows.select(key, F.col("_ords").alias("ordinals"), *leaves)
         for c in rel.children:
@@ -78,6 +120,24 @@ def shared_inline(df: DataFrame, key: str, graph: Relation | None = None) -> dic
     return out
 
 
+def related_tables(df: DataFrame, key: str) -> dict[str, DataFrame]:
+    """The tables of ``shared_inline``, those of one shared or recursive element put together, with foreign keys written out.
+
+    Every child table has ``key``, ``relation`` (the place in the schema), ``ordinals``, ``parent`` (the relation of the parent row) and ``parent_ordinals``: a row's parent is the row of
+    the table of ``parent`` with the same key, that relation and those ordinals; the root's has none. Fields that only some places of an element have are null in the others.
+    """
+    graph = schema_graph(T.StructType([f for f in df.schema.fields if f.name != key]))
+    flat = shared_inline(df, key, graph)
+    out = {graph.name: flat[graph.name]}
+    for parent in graph.every():
+        for rel in parent.children:
+            t = flat[rel.name]
+            up = F.col("ordinals") if rel.kind == "single" else F.slice("ordinals", 1, F.size("ordinals") - 1)
+            t = t.select(key, F.lit(rel.name).alias("relation"), "ordinals", F.lit(parent.name).alias("parent"), up.alias("parent_ordinals"), *t.columns[2:])
+            out[rel.table] = out[rel.table].unionByName(t, allowMissingColumns=True) if rel.table in out else t
+    return out
+
+
 def inline_rows(graph: Relation, get: Callable[[tuple[str, ...]], Column], leaf: Callable[[Relation, Column], Column]) -> Column:
     """All child tables of ``graph`` at once: array of struct(relation, ordinals, ``leaf`` of the element).
 
@@ -162,8 +222,7 @@ def notice_tables(bronze: DataFrame) -> dict[str, DataFrame]:
 def notice_items(bronze: DataFrame) -> DataFrame:
     """(ingest_id, entity, parent_ordinal, ordinal, item_key) of every contractor, part and criterion; distinct rows.
 
-    Contractors whose fields are all null are left out (their place still counts); a contractor without a name has a null key,
-    a part or criterion without one the key ''.
+    Contractors whose fields are all null are left out (their place still counts). Whatever has no name or code has the key ''.
     """
     nested = _nested(bronze)
     graph = schema_graph(T.StructType([f for f in nested.schema.fields if f.name != "ingest_id"]))
@@ -171,7 +230,7 @@ def notice_items(bronze: DataFrame) -> DataFrame:
     def leaf(rel: Relation, e: Column) -> Column:
         if rel.name != "contractors":
             return F.struct(F.lit(True).alias("there"), e["item_key"].alias("item_key"))
-        return F.struct(F.coalesce(*[_at(e, p).cast("string") for p in rel.leaves]).isNotNull().alias("there"), e["contractorName"].alias("item_key"))
+        return F.struct(F.coalesce(*[_at(e, p).cast("string") for p in rel.leaves]).isNotNull().alias("there"), F.coalesce(e["contractorName"], F.lit("")).alias("item_key"))
 
     r = nested.select("ingest_id", F.inline(inline_rows(graph, lambda path: _at(F.col(path[0]), path[1:]), leaf))).where("leaf.there")
     entity = F.create_map(*[F.lit(x) for x in ("contractors", "contractor", "parts", "part", "parts_criteria", "criterion")])[F.col("relation")]

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from noticelake.operators.inlining import notice_items, schema_graph, shared_inline
+from noticelake.operators.inlining import notice_items, related_tables, schema_graph, shared_inline
 
 SCHEMA = "ingest_id bigint, noticeType string, htmlBody string, contractors array<struct<contractorName:string,contractorCity:string>>"
 
@@ -23,7 +23,7 @@ def test_parts_and_criteria(spark, rows):
     assert got.columns == ["ingest_id", "entity", "parent_ordinal", "ordinal", "item_key"]
     assert rows(got) == sorted(
         [
-            (1, "contractor", 0, 2, "N"), (1, "contractor", 0, 3, None), (1, "criterion", 1, 1, "first"), (1, "criterion", 1, 2, "aó b"), (1, "criterion", 1, 3, "c"), (1, "criterion", 2, 1, ""),
+            (1, "contractor", 0, 2, "N"), (1, "contractor", 0, 3, ""), (1, "criterion", 1, 1, "first"), (1, "criterion", 1, 2, "aó b"), (1, "criterion", 1, 3, "c"), (1, "criterion", 2, 1, ""),
             (1, "part", 0, 1, "09135100-5"), (1, "part", 0, 2, ""), (1, "part", 0, 3, ""), (2, "part", 0, 1, "5"), (2, "part", 0, 2, "6"),
         ],
         key=repr,
@@ -38,3 +38,19 @@ def test_shared_inlining_of_a_nested_schema(spark, rows):
     assert rows(t["root"]) == [(1, 2, "x"), (2, None, None)]
     assert rows(t["items"]) == [(1, [1], 1), (1, [2], 2)]
     assert rows(t["items_subs"].select("id", F.array_join("ordinals", "."), "value")) == [(1, "1.1", "u"), (1, "1.2", "v")]
+
+
+def test_shared_recursive_and_mapped_elements(spark, rows):
+    place = "struct<city:string,zip:string>"
+    schema = f"id bigint, seat {place}, post {place}, offices array<{place}>, tags map<string,int>, items array<struct<code:string,items:array<struct<code:string,items:array<struct<code:string>>>>>>"
+    data = [
+        (1, ("A", "1"), None, [("B", "2"), None], {"x": 7}, [("1", [("1.1", [("1.1.1",)]), ("1.2", None)]), ("2", [])]),
+        (2, None, ("C", None), [], None, None),
+    ]
+    t = related_tables(spark.createDataFrame(data, schema), "id")
+    assert set(t) == {"root", "seat", "tags", "items"}
+    flat = lambda df, *c: rows(df.select("id", "relation", F.array_join("ordinals", "."), "parent", F.array_join("parent_ordinals", "."), *c))
+    assert flat(t["seat"], "city", "zip") == [(1, "offices", "1", "root", "", "B", "2"), (1, "offices", "2", "root", "", None, None), (1, "seat", "", "root", "", "A", "1"), (2, "post", "", "root", "", "C", None)]
+    assert flat(t["tags"], "key", "value") == [(1, "tags", "1", "root", "", "x", 7)]
+    assert flat(t["items"], "code") == sorted([(1, "items", "1", "root", "", "1"), (1, "items", "2", "root", "", "2"), (1, "items_items", "1.1", "items", "1", "1.1"), (1, "items_items", "1.2", "items", "1", "1.2"), (1, "items_items_items", "1.1.1", "items_items", "1.1", "1.1.1")], key=repr)
+    assert all(f.count() == 0 for f in related_tables(spark.createDataFrame([], schema), "id").values())
