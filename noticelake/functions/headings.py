@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
 _H3 = re.compile(r"<h3\b[^>]*>", re.I)
-_NUMBER = re.compile(r"(?:\s|&nbsp;|<[^>]*>|[^<\d])*?(?<![\d.])(\d+\.\d+(?:\.\d+)*)\.?\)")
+_NUMBER = re.compile(r"(?<![\d.])(\d+\.\d+(?:\.\d+)?)\.?\)")
 _STARTS = re.compile(r"(?:\s|&nbsp;|<[^>]*>)*(\d+(?:\.\d+)+)\.?\)")
 _CLOSE = re.compile(r"</h3\s*>", re.I)
 _STOP = re.compile(r"<h2\b|</body\b|</html\b", re.I)
@@ -37,7 +37,7 @@ def text_of(markup: str) -> str:
 def headings(body: str | None, numbers: frozenset[str] | None = None, anywhere: bool = False, full: bool = True) -> list[dict] | None:
     """The numbered headings of a page in order; None for None.
 
-    A heading's number is what it starts with, or with ``anywhere`` the first number before a ``)`` in it. Only ``numbers`` if given.
+    A heading's number is what it starts with, or with ``anywhere`` the first number of two or three levels before a ``)`` in its text. Only ``numbers`` if given.
     ``span``, ``inline`` and ``paragraphs`` are the value candidates: the span of class normal in the heading, the text right after it,
     the paragraphs up to the next heading; ``block`` (``full``) is all text up to the next numbered heading, a line for each element.
     """
@@ -46,9 +46,12 @@ def headings(body: str | None, numbers: frozenset[str] | None = None, anywhere:
     if "<!--" in body:
         body = _COMMENT.sub("", body)
     out: list[dict] = []
-    number_of = _NUMBER.match if anywhere else _STARTS.match
     for chunk in _H3.split(body)[1:]:
-        m = number_of(chunk)
+        if anywhere:
+            end = _CLOSE.search(chunk)
+            m = _NUMBER.search(text_of(chunk[: end.start()] if end else chunk))
+        else:
+            m = _STARTS.match(chunk)
         close = _CLOSE.search(chunk) if m is None or numbers is None or m[1] in numbers else None
         if m is None:
             if full and out and close:  # a heading without a number belongs to the block before it

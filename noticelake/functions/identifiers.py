@@ -53,6 +53,10 @@ def is_pesel(c: Column | str) -> Column:
     return _checked(s, PESEL_WEIGHTS, (10 - _sum(s, PESEL_WEIGHTS) % 10) % 10) & F.coalesce(F.when(month.between(0, 99), born.isNotNull()), F.lit(False))
 
 
+#: A NIP as written: its groups of digits with at most one blank or dash between neighbours, and no digit before or after.
+_WRITTEN_NIP = r"(?<!\d)" + r"[-\s]?".join(rf"\d{{{n}}}" for n in (3, 3, 2, 2)) + r"(?!\d)"
+
+
 def classify(c: Column | str) -> Column:
     """struct(value, type) of a typed identifier: NIP, REGON or PESEL, the first of each kind that checks, in that order.
 
@@ -62,7 +66,7 @@ def classify(c: Column | str) -> Column:
     digits = F.regexp_replace(raw, r"\D", "")
     all_of = lambda rule: F.regexp_extract_all(raw, F.lit(rule), F.lit(0))
     first = lambda xs, ok: F.get(F.filter(F.transform(xs, lambda x: F.regexp_replace(x, r"\D", "")), ok), F.lit(0))
-    nip = F.coalesce(first(all_of(r"(?<!\d)(?:\d{3}[-\s]?\d{3}[-\s]?\d{2}[-\s]?\d{2}|\d{10})(?!\d)"), is_nip), F.lit(None))
+    nip = F.coalesce(first(all_of(_WRITTEN_NIP), is_nip), F.lit(None))
     padded = lambda x: F.when(F.length(x) == 8, F.lpad(x, 9, "0")).otherwise(x)
     is_regon = lambda x: is_regon14(x) | is_regon9(x)
     regon = F.get(F.filter(F.transform(all_of(r"(?<!\d)(?:\d{14}|\d{9}|\d{8})(?!\d)"), padded), is_regon), F.lit(0))

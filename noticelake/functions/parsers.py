@@ -6,6 +6,7 @@ message that starts with the parser's name. Parsers that never fail have a null
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import durations, identifiers
-from .text import blank, col, fold, let, squeeze, strip
+from .text import blank, col, let, squeeze, strip
 
 
 class Parsed(NamedTuple):
@@ -58,7 +59,7 @@ def tak_nie(c: Column) -> Parsed:
 def criterion_weight(c: Column) -> Parsed:
     """Weight as int, halves to the even number."""
     num = F.regexp_extract(F.replace(strip(c), F.lit(" "), F.lit(" ")), r"([0-9][0-9\s.,]*)", 1)
-    return _strict("parse_criterion_weight", col(c), F.bround(_decimal(strip(num))).cast("int"))
+    return _strict("parse_criterion_weight", col(c), F.bround(_decimal(strip(num))).try_cast("int"))
 
 
 def cpv_codes(c: Column) -> Parsed:
@@ -116,9 +117,45 @@ def change_after(c: Column) -> Parsed:
     return Parsed(_found(strip(F.get(F.split(col(c), _AFTER, 2), F.lit(1)))), _NONE("string"))
 
 
+def _misread(c: str, times: int) -> str:
+    """A letter as it looks when its UTF-8 is read as the Central European code page, so many times, in lower case."""
+    for _ in range(times):
+        c = c.encode().decode("cp1250")
+    return c.casefold()
+
+
+#: Misread Polish letters and the plain letter each stands for, those misread twice first.
+MISREAD = {_misread(c, times): plain for times in (2, 1) for c, plain in zip("ąćęłńóśźż", "acelnoszz", strict=True)}
+
+
+def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters that compatibility decomposition without its marks turns into one letter, and into several."""
+    one, more = {}, {}
+    for code in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2150), *range(0xFB00, 0xFB07), *range(0xFF00, 0xFF5F)):
+        c = chr(code).casefold()
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if plain != chr(code):
+            (one if len(plain) == 1 else more)[chr(code)] = plain
+    return one, more
+
+
+_ONE, _MORE = _plain_letters()
+
+
 def normalized_label(c: Column | str) -> Column:
-    """A label for matching: lower case, marks out, single blanks."""
-    return squeeze(fold(c))
+    """A label for matching: case folded, misread Polish letters mended, compatibility forms plain, marks out, single blanks. ``ł`` stays: its stroke is no mark."""
+    lower = F.lower(col(c))
+    for wrong, right in MISREAD.items():
+        lower = F.replace(lower, F.lit(wrong), F.lit(right))
+
+    def several(s: Column) -> Column:
+        for a, b in _MORE.items():
+            s = F.replace(s, F.lit(a), F.lit(b))
+        return s
+
+    rare = "[" + "".join(_MORE) + "]"
+    plain = let(lower, lambda s: F.when(s.rlike(rare), several(s)).otherwise(s))
+    return squeeze(F.regexp_replace(F.translate(plain, "".join(_ONE), "".join(_ONE.values())), r"\p{M}+", ""))
 
 
 def _plain(value: Callable[[Column], Column]) -> Callable[[Column], Parsed]:
@@ -149,10 +186,21 @@ REGISTRY: dict[str, tuple[Callable[[Column], Parsed], str]] = {
     "parse_duration_iso": (_plain(durations.iso), "string"),
 }
 
+#: Parsers of one notice type, which come before those of all: (notice type, name) -> (parser, Spark type).
+OVERRIDES: dict[tuple[str, str], tuple[Callable[[Column], Parsed], str]] = {}
+
 #: Parsers of several columns.
 COMPUTED: dict[str, tuple[Callable[..., Column], str]] = {"compute_duration_days": (durations.days, "int"), "compute_contract_end_date": (durations.contract_end, "string")}
 
 
-def register(name: str, parser: Callable[[Column], Parsed], spark_type: str) -> None:
-    """Add or replace a parser; a Python or pandas UDF works too, wrapped to give (value, error)."""
-    REGISTRY[name] = (parser, spark_type)
+def register(name: str, parser: Callable[[Column], Parsed], spark_type: str, notice_type: str | None = None) -> None:
+    """Add or replace a parser, of one notice type if given; a Python or pandas UDF works too, wrapped to give (value, error)."""
+    if notice_type is None:
+        REGISTRY[name] = (parser, spark_type)
+    else:
+        OVERRIDES[notice_type, name] = (parser, spark_type)
+
+
+def parser_of(name: str, notice_type: str | None = None) -> tuple[Callable[[Column], Parsed], str] | None:
+    """The parser of a name, the notice type's own first; None if there is none."""
+    return OVERRIDES.get((notice_type, name)) or REGISTRY.get(name)

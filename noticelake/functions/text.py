@@ -15,7 +15,8 @@ PLAIN = "acelnoszzACELNOSZZaaaaaacdeeeeeiiiillnnooooorrstuuuuuyyzcgisttă".repla
 LATIN_BLANKS = r"\t-\r\x1c-\x20\x{85}\x{a0}"
 WIDE_BLANKS = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANKS = LATIN_BLANKS + WIDE_BLANKS
-_EDGE = rf"^[{BLANKS}]+|[{BLANKS}]+$"
+#: The same blanks, letter by letter.
+EVERY_BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0" + WIDE_BLANKS
 
 
 def col(c: Column | str) -> Column:
@@ -29,7 +30,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Trim every Unicode blank (also NBSP and line ends) from both ends; null stays null."""
-    return F.regexp_replace(col(c), _EDGE, "")
+    return F.trim(col(c), F.lit(EVERY_BLANK))
+
+
+def strip_end(c: Column | str) -> Column:
+    """``strip`` of the right end alone."""
+    return F.rtrim(col(c), F.lit(EVERY_BLANK))
 
 
 def blank(c: Column | str) -> Column:
