@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from noticelake.functions.text import blank, strip
+from noticelake.functions.text import blank, strip, strip_end
 
 # Notice types that are accepted.
 NOTICE_TYPES = (
@@ -15,7 +16,7 @@ NOTICE_TYPES = (
     "CompetitionNotice", "CompetitionResultNotice", "ConcessionNotice", "ConcessionAgreementNotice", "NoticeUpdateConcession", "ConcessionUpdateAgreementNotice",
     "ConcessionIntentionAgreementNotice", "CircumstancesFulfillmentNotice",
 )
-REQUIRED = ("objectId", "noticeType", "noticeNumber", "bzpNumber", "publicationDate", "cpvCode", "htmlBody", "organizationName", "organizationCity", "organizationCountry", "organizationNationalId", "organizationId")
+REQUIRED = ("objectId", "noticeType", "noticeNumber", "bzpNumber", "publicationDate", "cpvCode", "htmlBody", "organizationName", "organizationCity", "organizationCountry", "organizationNationalId", "organizationId", "isTenderAmountBelowEU")
 
 
 def first_seen(df: DataFrame, key: str, order: Sequence[str], known: DataFrame | None = None) -> DataFrame:
@@ -45,19 +46,70 @@ def dedup_stats(flagged: DataFrame) -> DataFrame:
 
 
 def validation_errors(columns: Sequence[str]) -> Column:
-    """array<string> of what is wrong with a raw notice, empty if nothing: required fields, known type, closed page."""
+    """array<string> of what is wrong with a raw notice, empty if nothing: required fields, known type, closed page, contractors that are records."""
     rules = [F.when(F.col(c).isNull(), f"{c}: field required") for c in REQUIRED if c in columns]
     rules += [F.lit(f"{c}: field required") for c in REQUIRED if c not in columns]
     if "noticeType" in columns:
         rules.append(F.when(~F.col("noticeType").isin(*NOTICE_TYPES), "noticeType: unknown type"))
     if "htmlBody" in columns:
-        rules.append(F.when(~strip(F.right("htmlBody", F.lit(64))).endswith("</html>"), "htmlBody: page is not closed"))
+        rules.append(F.when(~strip_end("htmlBody").endswith("</html>"), "htmlBody: page is not closed"))
+    if "contractors" in columns:
+        rules.append(F.when(F.exists("contractors", lambda c: c.isNull()), "contractors: item is no record"))
     return F.array_compact(F.array(*rules))
 
 
-def record_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 of the record's canonical JSON: keys sorted, nulls included."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+def _sorted_keys(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        fields = sorted(kind.fields, key=lambda f: f.name)
+        return F.when(c.isNotNull(), F.struct(*[_sorted_keys(c[f.name], f.dataType).alias(f.name) for f in fields]))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        return F.transform(c, lambda e: _sorted_keys(e, kind.elementType))
+    return c
+
+
+def record_hash(schema: T.StructType) -> Column:
+    """SHA-256 of the canonical JSON of a record with these fields: keys sorted at every depth, nulls included."""
+    fields = sorted(schema.fields, key=lambda f: f.name)
+    return F.sha2(F.to_json(F.struct(*[_sorted_keys(F.col(f.name), f.dataType).alias(f.name) for f in fields]), {"ignoreNullFields": "false"}), 256)
+
+
+def html_hash(body: Column | str) -> Column:
+    """SHA-256 of a page; null for none."""
+    return F.sha2(body, 256)
+
+
+def first_days(batch: DataFrame, key: str, day: str, order: Sequence[str], valid: Column, before: DataFrame | None = None) -> DataFrame:
+    """``batch``, the days of a range, with ``drop_reason`` as ``first_seen``: ``in_input`` for repeats within a day, ``known`` for keys of an earlier day.
+
+    A key counts as known from a day on if ``before`` (one column: the keys of days before the range) has it, or if the first row of it on an earlier day of the
+    range is kept there and ``valid`` (of its row, null counting as false). Two aggregates stand for the run through the days: the first row of each key a day, and
+    the first day whose first row is valid; no earlier day can have dropped that row, or the key had been known by then.
+    """
+    k = F.nullif(strip(key), F.lit(""))
+    rows = batch.withColumn("_key", k).withColumn("_at", F.struct(*order)).withColumn("_ok", F.coalesce(valid, F.lit(False)))
+    firsts = rows.where("_key is not null").groupBy("_key", F.col(day).alias("_day")).agg(F.min(F.struct("_at", "_ok")).alias("_f"))
+    taken = firsts.where("_f._ok").groupBy("_key").agg(F.min("_day").alias("_taken"))
+    out = rows.join(firsts.select("_key", F.col("_day").alias(day), F.col("_f._at").alias("_first")), ["_key", day], "left").join(taken, "_key", "left")
+    old = F.coalesce(F.col("_taken") < F.col(day), F.lit(False))
+    if before is not None:
+        ids = before.select(strip(before.columns[0]).alias("_key")).where("_key <> ''").distinct().withColumn("_old", F.lit(True))
+        out = out.join(ids, "_key", "left")
+        old = old | F.coalesce("_old", F.lit(False))
+    reason = F.when(F.col("_key").isNull(), F.lit(None)).when(F.col("_at") > F.col("_first"), "in_input").when(old, "known")
+    return out.select(*batch.columns, reason.alias("drop_reason"))
+
+
+def day_rows(df: DataFrame, day: str, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` with ``drop_reason`` as at the time of fetching: ``other_day`` for rows not published on ``day``, ``duplicate`` for repeats of a key among the rest.
+
+    Keys are compared as they are, without stripping; null and empty ones are never repeats.
+    """
+    here = F.coalesce(F.substring("publicationDate", 1, 10) == F.lit(day), F.lit(False))
+    k = F.nullif(F.col(key), F.lit(""))
+    rows = df.withColumn("_key", F.when(here, k)).withColumn("_at", F.struct(*order)).withColumn("_here", here)
+    first = rows.where("_key is not null").groupBy("_key").agg(F.min("_at").alias("_first"))
+    reason = F.when(~F.col("_here"), "other_day").when(F.col("_at") > F.col("_first"), "duplicate")
+    return rows.join(first, "_key", "left").select(*df.columns, reason.alias("drop_reason"))
 
 
 def keep_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticelake.functions.headings import heading_column, section_text
-from noticelake.functions.parsers import COMPUTED, REGISTRY
+from noticelake.functions.parsers import COMPUTED, Parsed, parser_of
 from noticelake.functions.text import section_key
 from noticelake.profiles import Profile
 
@@ -82,6 +82,11 @@ def section_tables(pages: DataFrame, rows: DataFrame, profile: Profile, key: str
     return out
 
 
+def _unknown(name: str) -> Callable[[Column], Parsed]:
+    """Stands in for a parser that isn't registered: the text as it is, and an error."""
+    return lambda c: Parsed(c, F.when(c.isNotNull(), F.lit(f"{name}: unknown parser")))
+
+
 def typed(table: DataFrame, profile: Profile, entity: str, leaf: str) -> DataFrame:
     """A section table with typed columns and ``parse_errors`` (null if none): parsed in place, derived ones appended for their dropped source, then computed ones.
 
@@ -94,7 +99,7 @@ def typed(table: DataFrame, profile: Profile, entity: str, leaf: str) -> DataFra
     tail: list[Column] = []
 
     def use(name: str, source: str, as_: str, into: list[Column]) -> None:
-        parser, kind = REGISTRY[name]
+        parser, kind = parser_of(name, profile.notice_type) or (_unknown(name), "string")
         p = parser(F.col(source))
         into.append(p.value.cast(kind).alias(as_))
         errors.append(F.concat(F.lit(f"{as_}: "), p.error))
@@ -102,7 +107,7 @@ def typed(table: DataFrame, profile: Profile, entity: str, leaf: str) -> DataFra
     for s in sections:
         if s.derived:
             continue
-        if s.parser in REGISTRY:
+        if s.parser and parser_of(s.parser, profile.notice_type):
             use(s.parser, s.column, s.column, cols)
         else:
             cols.append(F.col(s.column))

@@ -81,7 +81,7 @@ def parse_cpv_list(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.col("objectId").alias("object_id"), F.array_join(P.cpv_codes(F.expr(_CPV)).value, ",").alias("codes"))
 
 
-@_query("SELECT objectId AS object_id, regexp_replace(trim(regexp_replace(translate(lower(orderObject), 'ąćęłńóśźż', 'acelnoszz'), '[\\s\\x{a0}]+', ' ', 'g')), '^ | $', '', 'g') AS label FROM (SELECT DISTINCT objectId, orderObject FROM common_envelope) WHERE orderObject IS NOT NULL")
+@_query("SELECT objectId AS object_id, regexp_replace(trim(regexp_replace(replace(strip_accents(replace(lower(orderObject), 'ł', '\x01')), '\x01', 'ł'), '[\\s\\x{a0}]+', ' ', 'g')), '^ | $', '', 'g') AS label FROM (SELECT DISTINCT objectId, orderObject FROM common_envelope) WHERE orderObject IS NOT NULL")
 def label_normalise(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "common_envelope").select("objectId", "orderObject").distinct().where("orderObject is not null")
     return t.select(F.col("objectId").alias("object_id"), P.normalized_label("orderObject").alias("label"))
@@ -225,7 +225,7 @@ def dedup_stats(spark: SparkSession, d: str) -> DataFrame:
     return bronze.dedup_stats(_flagged(spark, d))
 
 
-@_query("SELECT ingest_id, (objectId IS NULL)::INT + (organizationNationalId IS NULL)::INT + (htmlBody IS NULL)::INT + (organizationCity IS NULL)::INT + (organizationName IS NULL)::INT + (organizationCountry IS NULL)::INT + (bzpNumber IS NULL)::INT + (noticeNumber IS NULL)::INT + (cpvCode IS NULL)::INT + (organizationId IS NULL)::INT + coalesce((NOT regexp_matches(htmlBody, '</html>\\s*$'))::INT, 0) AS n_errors FROM bronze_notices")
+@_query("SELECT ingest_id, (objectId IS NULL)::INT + (isTenderAmountBelowEU IS NULL)::INT + (organizationNationalId IS NULL)::INT + (htmlBody IS NULL)::INT + (organizationCity IS NULL)::INT + (organizationName IS NULL)::INT + (organizationCountry IS NULL)::INT + (bzpNumber IS NULL)::INT + (noticeNumber IS NULL)::INT + (cpvCode IS NULL)::INT + (organizationId IS NULL)::INT + (coalesce(len(list_filter(contractors, lambda c: c IS NULL)), 0) > 0)::INT + coalesce((NOT regexp_matches(htmlBody, '</html>\\s*$'))::INT, 0) AS n_errors FROM bronze_notices")
 def bronze_validation(spark: SparkSession, d: str) -> DataFrame:
     b = table(spark, d, "bronze_notices")
     return b.select("ingest_id", F.size(bronze.validation_errors(b.columns)).alias("n_errors"))
@@ -234,7 +234,7 @@ def bronze_validation(spark: SparkSession, d: str) -> DataFrame:
 @_query("SELECT o_orderkey AS id, sha256(concat('{\"o_custkey\":', o_custkey, ',\"o_orderkey\":', o_orderkey, ',\"o_orderpriority\":\"', o_orderpriority, '\",\"o_orderstatus\":', CASE WHEN o_orderstatus = 'F' THEN 'null' ELSE concat('\"', o_orderstatus, '\"') END, '}')) AS hash FROM orders")
 def record_hash(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.nullif("o_orderstatus", F.lit("F")).alias("o_orderstatus"))
-    return t.select(F.col("o_orderkey").alias("id"), bronze.record_hash(t.columns).alias("hash"))
+    return t.select(F.col("o_orderkey").alias("id"), bronze.record_hash(t.schema).alias("hash"))
 
 
 # an order as a page: core sections 1.1 and 2.2, a part (4.2.2, 4.2.6) a line item and a criterion (4.3.5, 4.3.6) for each line of more than 25
@@ -322,7 +322,7 @@ def delta_number_index(spark: SparkSession, d: str) -> DataFrame:
 @_query(_INDEX + "SELECT objectId AS object_id, bzp_number, target_id, target_type, target_day FROM c JOIN idx USING (bzp_number)")
 def delta_resolve(spark: SparkSession, d: str) -> DataFrame:
     c, _, _, e = _notices(spark, d)
-    return deltas.resolve(c, deltas.number_index(e)).withColumnRenamed("objectId", "object_id")
+    return deltas.resolve(c.drop("publicationDateDay"), deltas.number_index(e)).withColumnRenamed("objectId", "object_id")
 
 
 @_query(_INDEX + "SELECT count(*) AS n_updates, count(target_id) AS n_resolved, count(*) FILTER (bzp_number IS NOT NULL AND target_id IS NULL) AS n_unresolved, count(*) FILTER (bzp_number IS NULL) AS n_no_number FROM c LEFT JOIN idx USING (bzp_number)")
@@ -342,11 +342,28 @@ def delta_changes(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.col("objectId").alias("object_id"), F.size("section_changes").cast("bigint").alias("n_changes"), places.alias("places"))
 
 
-@_query()
+# core sections of contract notices that changes name, and how each is read
+_READ = {"2.5": "date", "2.6": "", "3.1": "", "3.10": "", "3.15": "", "4.1.2": "int", "5.4": "", "5.7": "", "6.1": "", "6.4": "", "7.4": "", "8.1": "datetime", "8.2": "", "8.3": "datetime", "8.4": "date", "9.1": "", "9.2": "", "9.3": "", "9.4": "date", "1.1": "", "1.4.2": "", "2.1": "", "2.2": ""}
+_RESULT = {"1.1": "", "1.4.2": "", "2.1": "", "2.2": "", "9.1": "", "9.2": "", "9.3": "", "9.4": "date"}
+_TO = ", ".join(f"('{t}', '{n}', '{how}')" for t, m in (("ContractNotice", _READ), ("TenderResultNotice", _RESULT)) for n, how in m.items())
+_DAY = r"nullif(regexp_extract(after, '\d{4}-\d{2}-\d{2}', 0), '')"
+
+
+@_query(
+    _INDEX + rf""", how(kind, number, how) AS (VALUES {_TO}),
+    i AS (SELECT DISTINCT objectId, part_ordinal, part_part_ordinal, section_3_4_1_after AS after, regexp_extract(regexp_replace(section_3_4_1_label, '^[\s\x{{a0}}]+', ''), '^\d+([.]\d+)*', 0) AS number FROM notice_update_part_part),
+    m AS (SELECT i.*, how, 'section_' || replace(number, '.', '_') AS "column", CASE WHEN after IS NULL OR (how <> '' AND regexp_full_match(after, '[\s\x{{a0}}]*')) THEN NULL WHEN how = 'date' THEN {_DAY} WHEN how = 'int' THEN CAST(TRY_CAST(nullif(regexp_extract(after, '\d+', 0), '') AS INT) AS VARCHAR)
+      WHEN how = 'datetime' THEN coalesce(nullif(regexp_replace(regexp_extract(after, '\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}', 0), '[T ]', 'T'), ''), {_DAY}) ELSE after END AS value
+      FROM i JOIN c USING (objectId) JOIN idx USING (bzp_number) JOIN how USING (number) WHERE how.kind = target_type),
+    last AS (SELECT *, row_number() OVER (PARTITION BY objectId, "column" ORDER BY part_ordinal DESC NULLS LAST, part_part_ordinal DESC NULLS LAST, after DESC NULLS LAST) AS rn FROM m)
+    SELECT objectId AS object_id, "column", value, coalesce(how <> '' AND value IS NULL AND NOT regexp_full_match(after, '[\s\x{{a0}}]*'), false) AS failed FROM last WHERE rn = 1"""
+)
 def delta_wide(spark: SparkSession, d: str) -> DataFrame:
+    """Typed values that updates change, and whether the text could not be read."""
     c, p, i, e = _notices(spark, d)
-    r = deltas.build_deltas(c, p, i, deltas.number_index(e), list(PROFILES.values()))
-    return r.select(F.col("objectId").alias("object_id"), F.explode("changed").alias("column", "value"))
+    r = deltas.build_deltas(c, p, i, deltas.number_index(e, deltas.years_referred(c)), list(PROFILES.values()))
+    bad = F.coalesce(F.map_contains_key(F.from_json("parse_errors", "map<string,string>"), F.col("column")), F.lit(False))
+    return r.select(F.col("objectId").alias("object_id"), "parse_errors", F.explode("changed").alias("column", "value")).select("object_id", "column", "value", bad.alias("failed"))
 
 
 @_query("SELECT o_custkey AS cust, max(o_orderkey) AS last_order FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1 GROUP BY 1")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONTRACTOR = "struct<contractorName:string,contractorCity:string,contractorProvince:string,contractorCountry:string,contractorNationalId:string>"
 RAW_SCHEMA = (
@@ -18,22 +19,36 @@ RAW_SCHEMA = (
 def read_days(spark: SparkSession, root: str, days: Sequence[str]) -> DataFrame:
     """All notices of the given days with ``file`` and ``pos`` (order of reading within the file).
 
-    Files are ``bzp_<day>.json`` and ``bzp_<day>_*.json``; days without a file give no rows. A payload that is no array of objects raises.
+    Files are ``bzp_<day>.json`` and ``bzp_<day>_*.json``; days without a file give no rows. A payload that is no array of objects, or is damaged or cut off, raises. A field that
+    can't be read as the schema's type is null. A file is read by one task, as a JSON array can't be split.
     """
     pattern = [f"{root}/bzp_{d}{{,_*}}.json" for d in days]
     paths = [str(p.getPath()) for g in pattern for p in _glob(spark, g)]
     if not paths:
         return spark.createDataFrame([], RAW_SCHEMA + ", file string, pos bigint")
-    text = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
-    checked = text.withColumn("value", F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("payload is not an array: "), "file"))))
-    rows = checked.select("file", F.posexplode(F.from_json("value", f"array<struct<{_nested(RAW_SCHEMA)}>>")).alias("pos", "r"))
-    return rows.select("r.*", "file", F.col("pos").cast("bigint").alias("pos"))
-
-
-def _nested(schema: str) -> str:
-    from pyspark.sql import types as T
-
-    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in T._parse_datatype_string(schema).fields)
+    for p in paths:
+        if _first_letter(spark, p) != "[":
+            raise ValueError(f"payload is not an array: {p}")
+    # every field is read as text first, which takes any type; what is no JSON, or cut off, fails the read
+    fields = T._parse_datatype_string(RAW_SCHEMA).fields
+    texts = spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in fields])).options(multiLine=True, mode="FAILFAST").json(paths)
+    typed = [F.from_json(f.name, f.dataType).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    return texts.select(*typed, F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("pos"))
+
+
+def _first_letter(spark: SparkSession, path: str) -> str:
+    """The first letter of a file after blanks and a byte order mark, '' for none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        while True:
+            c = stream.read()
+            if c < 0:
+                return ""
+            if c not in b" \t\r\n\xef\xbb\xbf":
+                return chr(c)
+    finally:
+        stream.close()
 
 
 def _glob(spark: SparkSession, pattern: str) -> list:
