@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticelake.llm import canonical, packing, redelivery, spellings, splitting, tokens, truncation
-from noticelake.runtime import checkpoint_dir, table
+from noticelake.runtime import table
 
-#: Ranges of batch_no that p7_batches takes in one after the other.
+#: Ranges of batch_no that p7_found takes in one after the other.
 RANGES = 3
 
 
@@ -45,19 +43,13 @@ def p6_entities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return redelivery.redelivered(table(spark, d, "bronze_notices"))
+    """Ranges of batch_no taken in one after the other, each against the index kept of the ranges before."""
+    return redelivery.redelivered(table(spark, d, "bronze_notices"), RANGES)
 
 
-def p7_batches(spark: SparkSession, d: str) -> DataFrame:
-    """As p7_found, taken in by ranges of batch_no against the index kept of the ranges before."""
-    b, store = table(spark, d, "bronze_notices"), f"{checkpoint_dir(spark)}/p7-{uuid.uuid4().hex}"
-    no = F.coalesce("batch_no", F.lit(0))
-    least, most = b.agg(F.min(no), F.max(no)).first()
-    found = None
-    for k in range(RANGES):
-        new = redelivery.deduplicate_batch(spark, b.where(F.floor((no - (least or 0)) * RANGES / ((most or 0) - (least or 0) + 1)) == k), store)
-        found = new if found is None else found.unionByName(new)
-    return found
+def p7_at_once(spark: SparkSession, d: str) -> DataFrame:
+    """As p7_found, all taken in as one batch."""
+    return redelivery.redelivered(table(spark, d, "bronze_notices"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -81,6 +73,6 @@ def p10_report(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_corpus(table(spark, d, "documents")).groupBy("boundary").agg(F.count("*").alias("n_pieces"), F.max("n_tokens").alias("most_tokens"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_share, p4_evidence, p6_found, p6_entities, p7_found, p7_batches, p8_ids, p9_pack, p9_fill, p10_split, p10_report)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unmatched, p4_found, p4_share, p4_evidence, p6_found, p6_entities, p7_found, p7_at_once, p8_ids, p9_pack, p9_fill, p10_split, p10_report)}
 
 SQL: dict[str, str] = {}

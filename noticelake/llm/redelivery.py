@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from noticelake.functions.instants import SECOND, iso_nanos
 from noticelake.functions.keys import object_key
 from noticelake.llm.pages import page_text
 from noticelake.llm.truncation import looks_cut, unmarked
-from noticelake.runtime import cut, small
+from noticelake.runtime import checkpoint_dir, cut, small
+from noticelake.sources.tables import append, delete_partitions
 
 #: Edits that two deliveries of one text may differ by, and seconds that their publication may be written apart.
 EDITS, APART = 2, 120
@@ -79,30 +82,21 @@ def _read(bodies: pa.Array) -> tuple[list[str], list[bool]]:
     return [unmarked(t) for _, t in pages], [bool(t) and looks_cut(x, t) for x, t in pages]
 
 
-def records(bronze: DataFrame, with_text: bool = True) -> DataFrame:
-    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text without a cutter's mark, '' if none; null unless ``with_text``), shown (true if the page's own end shows a cut), content (the text's hash, null if none), stored and probed (segment keys; those of the beginnings are stored by the cut-off text and probed by the whole one)."""
-    names = ["ingest_id", "oid", "at", "text", "shown", "content", "stored", "probed"]
+def records(bronze: DataFrame) -> DataFrame:
+    """What identifies each delivery: ingest_id, oid (null if blank), at (ns, null if unreadable), text (its page's whole text without a cutter's mark, '' if none), shown (true if the page's own end shows a cut), content (the text's hash, null if none), and the keys of its index entries: stored and probed (of the text's segments), whole and part (of its beginnings, as the whole text and, if it shows a cut, as one cut off)."""
+    schema = pa.schema([("ingest_id", pa.int64()), ("oid", pa.string()), ("at", pa.int64()), ("text", pa.string()), ("shown", pa.bool_()), ("content", pa.string()), *((n, pa.list_(pa.int64())) for n in ("stored", "probed", "whole", "part"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, shown = _read(b.column(3))
             keys = [segment_keys(t, EDITS) if len(t) > EDITS else ([], []) for t in texts]
             starts = [(w, c if cut_off else []) for (w, c), cut_off in zip((beginning_keys(t, EDITS) for t in texts), shown, strict=True)]
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *b.columns[:3],
-                    pa.array(texts if with_text else [None] * len(texts), pa.string()),
-                    pa.array(shown, pa.bool_()),
-                    pa.array([xxhash.xxh128_hexdigest(t.encode()) if t else None for t in texts], pa.string()),
-                    pa.array([[_signed(x) for x in s + c] for (s, _), (_, c) in zip(keys, starts, strict=True)], longs),
-                    pa.array([[_signed(x) for x in p + w] for (_, p), (w, _) in zip(keys, starts, strict=True)], longs),
-                ],
-                names,
-            )
+            content = [xxhash.xxh128_hexdigest(t.encode()) if t else None for t in texts]
+            lists = [[[_signed(x) for x in pair[i]] for pair in pairs] for pairs in (keys, starts) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *(pa.array(x, f.type) for x, f in zip((texts, shown, content, *lists), list(schema)[3:], strict=True))], schema=schema)
 
     r = bronze.select("ingest_id", object_key("objectId").alias("oid"), iso_nanos("publicationDate").alias("at"), "htmlBody")
-    return r.mapInArrow(run, "ingest_id bigint, oid string, at bigint, text string, shown boolean, content string, stored array<bigint>, probed array<bigint>")
+    return r.mapInArrow(run, "ingest_id bigint, oid string, at bigint, text string, shown boolean, content string, stored array<bigint>, probed array<bigint>, whole array<bigint>, part array<bigint>")
 
 
 def _buckets(at: Column, width: int) -> Column:
@@ -117,101 +111,158 @@ def _groups(r: DataFrame) -> DataFrame:
     return r.select("ingest_id", F.explode(F.filter(F.concat(by_id, by_text), lambda g: g.isNotNull())).alias("group"))
 
 
-def page_texts(bronze: DataFrame, ids: DataFrame) -> DataFrame:
-    """(ingest_id, at, text, shown) of the given ingest_ids alone: only their pages are read as text."""
-    names = ["ingest_id", "at", "text", "shown"]
+def _same_length(i: int, j: int, a: str, b: str) -> int:
+    """How many letters of ``a`` from ``i`` and ``b`` from ``j`` on are equal."""
+    n, step = 0, 64
+    most = min(len(a) - i, len(b) - j)
+    while n < most and a[i + n : i + n + step] == b[j + n : j + n + step]:
+        n, step = n + step, step * 2
+    while step > 1 and n < most:
+        step //= 2
+        if a[i + n : i + n + step] == b[j + n : j + n + step]:
+            n += step
+    return min(n, most)
+
+
+def edits_within(a: str, b: str, k: int) -> int:
+    """Levenshtein distance of two texts, -1 for more than ``k``: the furthest place reached on each diagonal with 0, 1, … errors, so in time linear in their length."""
+    goal = len(b) - len(a)
+    if abs(goal) > k:
+        return -1
+    far = {0: _same_length(0, 0, a, b)}
+    for errors in range(k + 1):
+        if far.get(goal, -1) >= len(a):
+            return errors
+        ahead = {}
+        for d in range(-errors - 1, errors + 2):
+            i = min(max(far.get(d, -9) + 1, far.get(d - 1, -9), far.get(d + 1, -9) + 1), len(a), len(b) - d)
+            if i >= 0 and i + d >= 0:
+                ahead[d] = i + _same_length(i, i + d, a, b)
+        far = ahead
+    return -1
+
+
+@F.arrow_udf(T.IntegerType())
+def _beginnings_apart(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Edits between two texts over the length of the shorter one, -1 for more than EDITS."""
+    short = ((x, y, min(len(x), len(y))) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True))
+    return pa.array([edits_within(x[:n], y[:n], EDITS) for x, y, n in short], pa.int32())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, shown = _read(b.column(2))
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(texts, pa.string()), pa.array(shown, pa.bool_())], names)
 
-    some = bronze.select("ingest_id", iso_nanos("publicationDate").alias("at"), "htmlBody").join(small(ids), "ingest_id", "left_semi")
-    return some.mapInArrow(run, "ingest_id bigint, at bigint, text string, shown boolean")
+def _candidates(r: DataFrame) -> DataFrame:
+    """(a, b), a < b, of a new delivery and another whose index entries meet, published in neighbouring slots of time.
+
+    Of equal texts of one slot the first stands for all, apart by whether their pages show a cut and by whether they are new. Entries are stored under both slots of
+    the time they were published in and probed under one, so that texts repeated over the years never meet. Known texts' segments are never probed with: new ones meet them from
+    their side.
+    """
+    first = r.where("content is not null and at is not null").groupBy("content", "shown", "new", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed", "whole", "part"), "ingest_id").alias("r")).select("new", "r.*")
+    slots = F.array_distinct(F.array(F.floor((F.col("at") - APART * SECOND) / _BUCKET), F.floor((F.col("at") + APART * SECOND) / _BUCKET)))
+    kept = lambda keys: F.flatten(F.transform(slots, lambda s: F.transform(keys, lambda k: F.xxhash64(k, s))))
+    asked = lambda keys: F.transform(keys, lambda k: F.xxhash64(k, F.floor(F.col("at") / _BUCKET)))
+    side = lambda rows, keys, name: rows.select(F.explode(keys).alias("key"), F.col("ingest_id").alias(name), F.col("new").alias(f"new_{name}"))
+    near = side(first, kept("stored"), "a").join(side(first.where("new"), asked("probed"), "b"), "key")
+    off = side(first, kept("part"), "a").join(side(first, asked("whole"), "b"), "key").where("new_a or new_b")
+    return near.unionByName(off).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _near(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(a, b), a < b: deliveries published close together whose texts are at most EDITS apart, or one of which is a cut-off copy of the other.
+def _near(r: DataFrame) -> DataFrame:
+    """(a, b), a < b: deliveries, one of them new, published close together whose texts are at most EDITS apart, or one of which is a cut-off copy of the other.
 
-    Of equal texts of one time the first stands for all, apart by whether their pages show a cut. Segments are stored under both buckets of the time they were published in
-    and probed under one, so that texts repeated over the years never meet. A text cut off so early that it fits unlike ones goes to
-    the likeliest (fewest edits, then nearest in time) and those alike to it.
+    A text cut off so early that it fits unlike ones goes to the likeliest (fewest edits, then nearest in time) and those alike to it.
     """
-    first = r.where("content is not null and at is not null").groupBy("content", "shown", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed"), "ingest_id").alias("r")).select("r.*")
-    slots = F.array_distinct(F.array(F.floor((F.col("at") - APART * SECOND) / _BUCKET), F.floor((F.col("at") + APART * SECOND) / _BUCKET)))
-    # one pass over the representatives gives both sides, told apart by a flag
-    sides = F.flatten(F.array(F.flatten(F.transform(slots, lambda s: F.transform("stored", lambda k: F.struct(F.xxhash64(k, s).alias("key"), F.lit(True).alias("kept"))))), F.transform("probed", lambda k: F.struct(F.xxhash64(k, F.floor(F.col("at") / _BUCKET)).alias("key"), F.lit(False).alias("kept")))))
-    keyed = cut(first.select("ingest_id", F.inline(sides)))
-    a = keyed.where("kept").select("key", F.col("ingest_id").alias("a"))
-    b = keyed.where("not kept").select("key", F.col("ingest_id").alias("b"))
-    pairs = cut(a.join(b, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = cut(_candidates(r))
     ids = pairs.select(F.explode(F.array("a", "b")).alias("ingest_id")).distinct()
-    texts = cut(texts_of(ids))
+    texts = cut(r.select("ingest_id", "at", "text", "shown").join(small(ids), "ingest_id", "left_semi"))
     side = lambda x: texts.select(F.col("ingest_id").alias(x), F.col("text").alias(f"t{x}"), F.col("at").alias(f"at_{x}"), F.col("shown").alias(f"shown_{x}"))
     p = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("apart", F.abs(F.col("at_a") - F.col("at_b"))).where(F.col("apart") <= APART * SECOND).withColumn("more", F.length("tb") - F.length("ta"))
     by_length = lambda x, y: F.when(F.col("more") > 0, x).otherwise(y)
     # cut before the filter, so that the edits are counted once
-    p = cut(p.select("a", "b", "apart", "more", _beginnings_apart(F.col("ta"), F.col("tb")).alias("edits"), by_length(F.col("shown_a"), F.col("shown_b")).alias("shown"))).where("edits >= 0")
+    p = cut(p.select("a", "b", "apart", "more", _beginnings_apart("ta", "tb").alias("edits"), by_length(F.col("shown_a"), F.col("shown_b")).alias("shown"))).where("edits >= 0")
     alike = F.col("more").between(-EDITS, EDITS)
     off = p.where(~alike & F.col("shown")).select("a", "b", "edits", "apart", by_length(F.col("a"), F.col("b")).alias("part"), by_length(F.col("b"), F.col("a")).alias("whole"))
     off = off.join(off.groupBy("part").agg(F.min_by("whole", F.struct("edits", "apart", "whole")).alias("likeliest")), "part")
-    others = off.where("whole <> likeliest").select("a", "b", "whole", "likeliest").join(side("whole"), "whole").join(side("likeliest"), "likeliest").where(_beginnings_apart(F.col("twhole"), F.col("tlikeliest")) >= 0)
+    others = off.where("whole <> likeliest").select("a", "b", "whole", "likeliest").join(side("whole"), "whole").join(side("likeliest"), "likeliest").withColumn("edits", _beginnings_apart("twhole", "tlikeliest")).where("edits >= 0")
     return p.where(alike).unionByName(off.where("whole = likeliest"), allowMissingColumns=True).unionByName(others, allowMissingColumns=True).select("a", "b")
 
 
-def _beginnings_apart(a: Column, b: Column) -> Column:
-    """Edits between two texts over the length of the shorter one, -1 for more than EDITS."""
-    short = F.least(F.length(a), F.length(b))
-    return F.when(F.startswith(a, b) | F.startswith(b, a), 0).otherwise(F.levenshtein(F.substring(a, F.lit(1), short), F.substring(b, F.lit(1), short), EDITS))
-
-
-def link(r: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(ingest_id, first_id) of the deliveries that share a version with another: the smallest ingest_id of each set of linked records.
+def link(r: DataFrame) -> DataFrame:
+    """(ingest_id, first_id) of the deliveries that share a version with a new one: the first record of each set of linked records, of known ones the first they were linked to.
 
-    ``r`` has the columns of ``records`` but for the text, which ``texts_of`` gives for the ingest_ids that need it. Labels go through the groups until none changes; only groups of two and more take part, so that the loop works on the repeated deliveries alone.
+    ``r`` has the columns of ``records``, ``new`` and ``known_first`` (null for new ones). Labels go through the groups, each round also from a label to that record's own,
+    until none changes; only groups with a new record and another take part, so that the loop works on the repeated deliveries alone.
     """
-    near = _near(r, texts_of)
-    g = _groups(r).unionByName(near.select(F.xxhash64(F.lit("near"), "a", "b").alias("group"), F.explode(F.array("a", "b")).alias("ingest_id")))
-    several = g.groupBy("group").agg(F.count("*").alias("n"), F.min("ingest_id").alias("least"), F.max("ingest_id").alias("most")).where("least < most").select("group")
+    g = _groups(r).unionByName(_near(r).select(F.xxhash64(F.lit("near"), "a", "b").alias("group"), F.explode(F.array("a", "b")).alias("ingest_id")))
+    who = r.select("ingest_id", "new", F.coalesce("known_first", "ingest_id").alias("own")).distinct()
+    g = g.join(who, "ingest_id")
+    several = g.groupBy("group").agg(F.min("ingest_id").alias("least"), F.max("ingest_id").alias("most"), F.max("new").alias("new")).where("least < most and new").select("group")
     g = cut(g.join(several, "group", "left_semi").distinct())
-    labels = g.groupBy("ingest_id").agg(F.min("ingest_id").alias("first_id"))
+    labels = g.groupBy("ingest_id").agg(F.min("own").alias("first_id"))
     while True:
         best = g.join(labels, "ingest_id").groupBy("group").agg(F.min("first_id").alias("first_id"))
-        new = cut(g.join(best, "group").groupBy("ingest_id").agg(F.min("first_id").alias("first_id")))
+        spread = g.join(best, "group").groupBy("ingest_id").agg(F.min("first_id").alias("first_id"))
+        up = spread.select(F.col("ingest_id").alias("first_id"), F.col("first_id").alias("further"))
+        new = cut(spread.join(up, "first_id", "left").select("ingest_id", F.least("first_id", "further").alias("first_id")))
         if new.join(labels.withColumnRenamed("first_id", "old"), "ingest_id").where("first_id <> old").limit(1).count() == 0:
             return new
         labels = new
 
 
-def redelivered(bronze: DataFrame) -> DataFrame:
-    """(ingest_id_a, ingest_id_b): every record b that delivers again the version that record a, the first of it, delivered.
+def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str, label: str | None = None) -> DataFrame:
+    """(ingest_id_a, ingest_id_b): the records b of a new batch that deliver again the version that record a, the first of it, delivered, in the batch or in what was taken in before.
 
     Records are one version if they have one objectId (as written apart from blanks, case, braces and dashes) and one time of publication, or
     texts at most EDITS edits apart (or cut off) published at most APART seconds apart, whatever their ids. Blank ids and missing
     bodies link by what else there is; records with neither are never linked. Repeated ingest_ids count once.
-    """
-    keys = cut(records(bronze, with_text=False).drop("text"))
-    return link(keys, lambda ids: page_texts(bronze, ids)).where("ingest_id <> first_id").select(F.col("first_id").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
-
-
-def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str) -> DataFrame:
-    """The redelivered records of a new batch, against the index kept in ``store``, to which the batch is appended.
 
-    The index holds each accepted record with its segment keys, partitioned by day of publication; a batch reads the days it publishes in
-    and their neighbours, never all history. Result: (ingest_id_a, ingest_id_b) of the batch's records. Batches must come in order of ingest_id.
+    ``store`` keeps the index: the records with their segment keys, by batch and week of publication, and the first record of each redelivery. The batch is appended as ``label`` and read
+    back, so nothing else has to be materialised; a batch reads the weeks it publishes in and their neighbours, never all history. Taking in a label again replaces it; without one
+    the batch gets a label of its own.
+    Batches must come in order of ingest_id.
     """
-    day = F.coalesce(F.floor(F.col("at") / (86400 * SECOND)), F.lit(-1)).cast("int")
-    new = cut(records(batch).withColumn("day", day))
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
-    known = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    every = new.withColumn("known_first", F.lit(None).cast("bigint"))
-    if known:
-        days = [r.day for r in new.select(F.explode(F.array("day", F.col("day") - 1, F.col("day") + 1)).alias("day")).distinct().collect()]
-        old = spark.read.parquet(store).where(F.col("day").isin(days))
-        every = every.unionByName(old.select(*every.columns))
-    linked = link(every.drop("text"), lambda ids: every.select("ingest_id", "at", "text", "shown").join(small(ids), "ingest_id", "left_semi"))
-    # a known record stands for the first record it was linked to
-    first = linked.join(every.select("ingest_id", "known_first"), "ingest_id").groupBy("first_id").agg(F.min(F.coalesce("known_first", "ingest_id")).alias("first"))
-    result = cut(new.select("ingest_id").join(linked, "ingest_id").join(first, "first_id").select("ingest_id", "first"))
-    new.join(result, "ingest_id", "left").withColumn("known_first", F.coalesce("first", "ingest_id")).drop("first").write.mode("append").partitionBy("day").parquet(store)
-    return result.where("ingest_id <> first").select(F.col("first").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
+    kept, firsts, label = f"{store}/records", f"{store}/firsts", f"batch-{label or uuid.uuid4().hex}"
+    week = F.coalesce(F.floor(F.col("at") / (7 * 86400 * SECOND)), F.lit(-1)).cast("int")
+    for path in (kept, firsts):
+        delete_partitions(spark, path, batch=label)
+    append(records(batch).withColumns({"week": week, "batch": F.lit(label)}), kept, ["batch", "week"])
+    if not _exists(spark, kept):  # an empty batch into an empty store
+        return spark.createDataFrame([], "ingest_id_a bigint, ingest_id_b bigint")
+    index = spark.read.parquet(kept)
+    columns = ["ingest_id", "oid", "at", "text", "shown", "content", "stored", "probed", "whole", "part"]
+    mine = F.col("batch") == label
+    new = index.where(mine)
+    weeks = sorted({w + k for r in new.select(F.col("week").cast("int").alias("w")).distinct().collect() for w in (r.w,) for k in (-1, 0, 1)})
+    every = new.select(*columns, F.lit(True).alias("new"), F.lit(None).cast("bigint").alias("known_first"))
+    old = index.where(~mine & F.col("week").cast("int").isin(weeks)).select(*columns, F.lit(False).alias("new"))
+    known = spark.read.parquet(firsts).where(~mine).select("ingest_id", F.col("first").alias("known_first")) if _exists(spark, firsts) else spark.createDataFrame([], "ingest_id bigint, known_first bigint")
+    every = every.unionByName(old.join(known, "ingest_id", "left"))
+    linked = link(every).where("ingest_id <> first_id").withColumnRenamed("first_id", "first")
+    result = cut(new.select("ingest_id").distinct().join(linked, "ingest_id"))
+    append(result.withColumn("batch", F.lit(label)), firsts, ["batch"])
+    return result.select(F.col("first").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """True if a table has been written there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
+def redelivered(bronze: DataFrame, batches: int = 1, store: str | None = None) -> DataFrame:
+    """``deduplicate_batch`` of a whole table, taken in by so many ranges of ``batch_no`` one after the other (null counts as 0); the index goes into ``store``, or a folder of its own
+    beside the checkpoints that is removed at the end."""
+    spark = bronze.sparkSession
+    place = store or f"{checkpoint_dir(spark)}/redelivered-{uuid.uuid4().hex}"
+    found = spark.createDataFrame([], "ingest_id_a bigint, ingest_id_b bigint")
+    if batches == 1:
+        found = deduplicate_batch(spark, bronze, place, "0")
+    else:
+        no = F.coalesce("batch_no", F.lit(0))
+        least, most = bronze.agg(F.min(no), F.max(no)).first()
+        for k in range(batches):
+            part = F.floor((no - F.lit(least or 0)) * batches / F.lit((most or 0) - (least or 0) + 1))
+            found = found.unionByName(deduplicate_batch(spark, bronze.where(part == k), place, str(k)))
+    if store is None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(place)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return found

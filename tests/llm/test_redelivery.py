@@ -1,6 +1,6 @@
 import random
 
-from noticelake.llm.redelivery import beginning_keys, deduplicate_batch, redelivered, segment_keys
+from noticelake.llm.redelivery import beginning_keys, deduplicate_batch, edits_within, redelivered, segment_keys
 
 SCHEMA = "ingest_id bigint, objectId string, publicationDate string, htmlBody string, text string, at string"
 
@@ -84,3 +84,36 @@ def test_copies_cut_at_a_mark_or_after_a_full_stop(spark, rows):
         data += [(2 * k + 1, f"a{k}", at(k + 1, "00"), whole, None, ""), (2 * k + 2, f"b{k}", at(k + 1, "40"), half + end, None, "")]
     # the last, closed and without a mark, is a version of its own
     assert rows(redelivered(spark.createDataFrame(data, SCHEMA))) == sorted([(2 * k + 1, 2 * k + 2) for k in range(5)], key=repr)
+
+
+def test_edits_within_match_brute_force():
+    def slow(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rnd = random.Random(8)
+    for _ in range(4000):
+        a = "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9)))
+        b = list(a) if rnd.random() < 0.7 else [rnd.choice("ab") for _ in range(rnd.randint(0, 9))]
+        for _ in range(rnd.randint(0, 3)):
+            i = rnd.randint(0, len(b))
+            b[i : i + rnd.randint(0, 1)] = rnd.choice(["", "a", "b"])
+        b = "".join(b)
+        want = slow(a, b)
+        assert edits_within(a, b, 2) == (want if want <= 2 else -1), (a, b)
+    long = "żółw " * 50_000
+    assert edits_within(long, "x" + long[:-1], 2) == 2 and edits_within(long, long[:100_000] + "??" + long[100_000:], 2) == 2 and edits_within(long, long[1:] + "xyz", 2) == -1
+
+
+def test_ranges_of_batches_and_batches_taken_in_again(spark, rows, tmp_path):
+    df = spark.createDataFrame([(*d, None if d[0] < 3 else d[0] // 2) for d in deliveries()], SCHEMA + ", batch_no int")
+    want = sorted(WANT, key=repr)
+    store = str(tmp_path / "s")
+    assert rows(redelivered(df, 3, store)) == want
+    late = df.where("ingest_id >= 8")
+    assert rows(deduplicate_batch(spark, late, store, "2")) == [r for r in want if r[1] >= 8]
+    assert redelivered(df.limit(0), 2).count() == 0
