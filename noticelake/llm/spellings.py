@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from noticelake.functions.text import blank, fold, let
 from noticelake.llm.canonical import probes, segments
-from noticelake.runtime import cut
+from noticelake.runtime import cut, small
 
-#: Edits within one word, letters of a word that can tell a name, and names that may explain a word up to which it is looked up beside the rarest.
-EDITS, TELLING, COMMON = 2, 4, 64
+#: Edits within one word, and letters of a word that can tell a name.
+EDITS, TELLING = 2, 4
 #: Log-likelihoods: of one edit, of a word cut short or written by initials, of a word left out.
 EDIT, SHORT, OMITTED = -2.5, -1.0, -0.5
 
@@ -110,9 +110,10 @@ def explaining(vocabulary: DataFrame) -> DataFrame:
 
 
 def shared(s: Column, c: Column) -> Column:
-    """True if two names share a telling word at most EDITS edits apart, or all words."""
+    """True if two names share a telling word at most EDITS edits apart, or all words, or are written with the same letters (``ZUK`` and ``Z.U.K.``)."""
+    letters = lambda ws: F.replace(F.array_join(ws, ""), F.lit("_"), F.lit(""))
     tell = lambda ws: F.filter(ws, lambda w: (F.length(w) >= TELLING) & ~w.rlike(r"\p{N}|_"))
-    return (F.array_sort(s) == F.array_sort(c)) | F.arrays_overlap(tell(s), tell(c)) | F.exists(tell(s), lambda t: F.exists(tell(c), lambda u: F.levenshtein(t, u, EDITS) >= 0))
+    return (F.array_sort(s) == F.array_sort(c)) | (letters(s) == letters(c)) | F.arrays_overlap(tell(s), tell(c)) | F.exists(tell(s), lambda t: F.exists(tell(c), lambda u: F.levenshtein(t, u, EDITS) >= 0))
 
 
 def attribute(names: DataFrame) -> DataFrame:
@@ -120,21 +121,28 @@ def attribute(names: DataFrame) -> DataFrame:
 
     Frequent and complete spellings are the candidates: those with more words, or as many and a higher count (ties by name). A spelling goes
     to the candidate of greatest posterior, log count plus the log-likelihoods of its edits, short forms and omissions, if the
-    candidate explains every word and number of it; from there on to that one's own. Candidates share a telling word at most
-    EDITS edits apart or all words. As a candidate explains every word of a spelling, it is looked up by the
-    rarest one, the word that the fewest names may explain (typos count as what they may be), and by those at most four times as
-    common, among all words of all names, however common. The rarest must not be explained by a bare initial alone.
+    candidate explains every word and number of it; from there on to that one's own. Candidates are ``shared``. As a candidate explains every word of a spelling, it is looked up by the
+    rarest one, the word that the fewest names may explain (typos count as what they may be), among all words of all names, however common. A candidate that
+    has that one as a bare initial alone is looked up by that letter and the next rarest word, one that has both so by both letters and each word after these: so
+    every candidate is found that explains the spelling, whatever the size of the table.
     """
     n = cut(names.select("name", "freq", words(F.col("name")).alias("w")).where(F.size("w") > 0).withColumn("id", F.xxhash64("name")))
     each = n.select("id", F.explode("w").alias("t"))
-    marked = cut(n.select("id", F.explode(marks(F.col("w"))).alias("mark")))
+    bare = F.array_distinct(F.transform(F.filter("w", lambda t: t.endswith("_")), lambda t: F.substring(t, 1, 1)))
+    two = F.flatten(F.transform(bare, lambda x: F.transform(bare, lambda y: F.concat(x, y))))
+    marked = cut(n.select("id", F.explode(marks(F.col("w"))).alias("mark"), F.concat(bare, two).alias("initials")))
     df = marked.groupBy("mark").agg(F.count("*").alias("df"))
     by = cut(explaining(each.select("t").distinct()).join(df, "mark"))
     reach = by.groupBy("t").agg(F.sum("df").alias("reach"))
-    each = each.join(reach, "t")
-    least = each.groupBy("id").agg(F.min("reach").alias("least"))
-    rarest = each.join(least, "id").where(F.col("reach") <= F.greatest(F.lit(COMMON), 4 * F.col("least"))).select("id", "t")
-    pairs = rarest.withColumnRenamed("id", "s").join(by.select("t", "mark"), "t").join(marked.withColumnRenamed("id", "c"), "mark").where("s <> c").select("s", "c").distinct()
+    ranked = each.join(reach, "t").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("reach", "t"))).alias("ts"))
+    letter = lambda i: F.substring(F.col("ts")[i]["t"], 1, 1)
+    looked = ranked.select(F.col("id").alias("s"), F.posexplode("ts").alias("place", "e"), letter(0).alias("x"), F.when(F.size("ts") > 1, F.concat(letter(0), F.get("ts", F.lit(1))["t"].substr(1, 1))).alias("xy"))
+    looked = looked.select("s", "e.t", F.when(F.col("place") == 0, "").when(F.col("place") == 1, F.col("x")).otherwise(F.col("xy")).alias("initials"))
+    some = cut(marked.where(F.size("initials") > 0).select(F.col("id").alias("c"), "mark", F.explode("initials").alias("initials")))
+    ways = by.select("t", "mark")
+    first = looked.where("initials = ''").join(ways, "t").join(marked.select(F.col("id").alias("c"), "mark"), "mark").select("s", "c")
+    later = looked.where("initials <> ''").join(small(some.select("initials").distinct()), "initials", "left_semi").join(ways, "t").join(some, ["initials", "mark"]).select("s", "c")
+    pairs = first.unionByName(later).where("s <> c").distinct()
     side = lambda p: n.select(F.col("id").alias(p), F.col("w").alias(f"w{p}"), F.col("freq").alias(f"f{p}"), F.col("name").alias(f"n{p}"))
     p = pairs.join(side("s"), "s").join(side("c"), "c")
     rank = lambda x: F.struct(F.size(f"w{x}"), F.col(f"f{x}"), F.col(f"n{x}"))

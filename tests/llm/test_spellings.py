@@ -1,4 +1,6 @@
-from noticelake.llm.spellings import attribute, entities, same_names
+from pyspark.sql import functions as F
+
+from noticelake.llm.spellings import attribute, entities, name_fit, same_names, shared, words
 
 SCHEMA = "objectId string, organizationName string, contractors array<struct<contractorName:string,contractorNationalId:string>>, name string, root string"
 GROUPS = [
@@ -39,3 +41,38 @@ def test_common_words_still_link(spark, rows):
     root = dict(rows(attribute(spark.createDataFrame(data, "name string, freq bigint"))))
     assert root["Zkaład Stolarski Elżbieta Leporanuczyk"] == root[whole]
     assert root["Zakład Stolarski Marzena"] == root[other] == other
+
+
+def test_links_stay_whatever_else_stands_in_the_table(spark):
+    def links(others):
+        names = ["Zakład Stolarski Józef Leporanuczyk", "Zakład Stolarski J. Leporanuczyk", "Z. Leporanuczyk", "Zakład Leporanuczyk", "PKP Z.U.K.", "PKP ZUK"]
+        more = [f"Firma {a}{b}owa Leporanuczyk" for a in ("Bok", "Dal", "Fis", "Gor", "Hal", "Kum", "Mor", "Pyl", "Sut", "Tir") for b in ("ana", "ebo", "ici", "odu", "ufe", "aru", "eli", "ino", "ota", "uzy")][:others]
+        t = spark.createDataFrame([(n, 2 if n.startswith("Zakład S") else 1) for n in names + more], "name string, freq bigint")
+        got = {r.name: r.root for r in attribute(t).collect()}
+        return {n: got[n] for n in names}
+
+    few, many = links(3), links(100)
+    assert few == many and few["Zakład Stolarski J. Leporanuczyk"] == "Zakład Stolarski Józef Leporanuczyk" == few["Z. Leporanuczyk"] == few["Zakład Leporanuczyk"]
+    assert few["PKP ZUK"] == few["PKP Z.U.K."]
+
+
+def test_every_candidate_that_explains_a_name_is_found(spark):
+    import random
+
+    rnd = random.Random(9)
+    firsts, lasts, kinds = ["Jan", "Julia", "Kamil", "Karol", "J.", "K.", "Jn"], ["Kowalski", "Kowalska", "Nowak", "Nowacki", "Kubik", "K."], ["Zakład", "Zaklad", "Stolarnia", "Firma", "Z.", "F.", ""]
+    names = sorted({" ".join(x for x in (rnd.choice(kinds), rnd.choice(firsts), rnd.choice(lasts)) if x) for _ in range(120)})
+    t = spark.createDataFrame([(n, 1 + i % 5) for i, n in enumerate(names)], "name string, freq bigint")
+    n = t.select("name", "freq", words(F.col("name")).alias("w"))
+    a, b = n.select(*[F.col(c).alias(f"{c}s") for c in n.columns]), n.select(*[F.col(c).alias(f"{c}c") for c in n.columns])
+    rank = lambda x: F.struct(F.size(f"w{x}"), F.col(f"freq{x}"), F.col(f"name{x}"))
+    p = a.crossJoin(b).where(rank("c") > rank("s")).withColumn("fit", name_fit(F.col("ws"), F.col("wc"))).where(F.col("fit").isNotNull() & shared(F.col("ws"), F.col("wc")))
+    p = p.where((F.size("ws") < F.size("wc")) | name_fit(F.col("wc"), F.col("ws")).isNotNull())
+    best = {r.names: r.c for r in p.groupBy("names").agg(F.max_by("namec", F.struct(F.log("freqc") + F.col("fit"), F.col("freqc"), F.col("namec"))).alias("c")).collect()}
+
+    def root(x):
+        while x in best:
+            x = best[x]
+        return x
+
+    assert {r.name: r.root for r in attribute(t).collect()} == {x: root(x) for x in names} and len(best) > 40
