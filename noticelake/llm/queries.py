@@ -9,7 +9,7 @@ from noticelake.llm import canonical, packing, redelivery, spellings, splitting,
 from noticelake.runtime import table
 
 #: Ranges of batch_no that p7_found takes in one after the other.
-RANGES = 3
+RANGES = 2
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

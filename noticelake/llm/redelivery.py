@@ -202,10 +202,10 @@ def link(r: DataFrame) -> DataFrame:
         best = g.join(labels, "ingest_id").groupBy("group").agg(F.min("first_id").alias("first_id"))
         spread = g.join(best, "group").groupBy("ingest_id").agg(F.min("first_id").alias("first_id"))
         up = spread.select(F.col("ingest_id").alias("first_id"), F.col("first_id").alias("further"))
-        new = cut(spread.join(up, "first_id", "left").select("ingest_id", F.least("first_id", "further").alias("first_id")))
-        if new.join(labels.withColumnRenamed("first_id", "old"), "ingest_id").where("first_id <> old").limit(1).count() == 0:
-            return new
-        labels = new
+        new = cut(spread.join(up, "first_id", "left").join(labels.withColumnRenamed("first_id", "old"), "ingest_id").select("ingest_id", F.least("first_id", "further").alias("first_id"), "old"))
+        labels = new.select("ingest_id", "first_id")
+        if new.where("first_id <> old").isEmpty():
+            return labels
 
 
 def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str, label: str | None = None) -> DataFrame:
