@@ -54,14 +54,14 @@ def unknown_sections(rows: DataFrame, key: str = "objectId") -> DataFrame:
     return u.groupBy(key, "noticeType").agg(F.transform(F.array_sort(F.collect_list("number")), lambda x: F.concat(F.lit("unknown section: "), x)).alias("errors"))
 
 
-def section_tables(pages: DataFrame, rows: DataFrame, profile: Profile, key: str = "objectId") -> dict[tuple[str, str], DataFrame]:
+def section_tables(pages: DataFrame, rows: DataFrame, profile: Profile, key: str = "objectId", placed: DataFrame | None = None) -> dict[tuple[str, str], DataFrame]:
     """Tables of one notice type by (entity, leaf), raw texts: ``section_…`` columns, ``<entity>_ordinal`` and ``<entity>_<leaf>_ordinal`` (which runs on across parents).
 
     Pages whose core sections repeat are in none of them; pages without core headings have a core row of nulls. An entity has a row for every
-    occurrence, also one that only children opened.
+    occurrence, also one that only children opened. ``placed`` is ``assign(rows)`` where a caller has cut it for several types.
     """
     own = rows.where(F.col("noticeType") == profile.notice_type).join(core_errors(rows, key).select(key), key, "left_anti")
-    placed = assign(own, key)
+    placed = assign(own, key) if placed is None else placed.where(F.col("noticeType") == profile.notice_type).join(core_errors(rows, key).select(key), key, "left_anti")
     out = {}
     for (entity, leaf), sections in profile.models().items():
         pick = lambda r, ss: [F.max(F.when(r["number"] == s.number, r["value"])).alias(s.column) for s in ss]

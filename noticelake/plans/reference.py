@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from noticelake.functions import durations, identifiers
 from noticelake.functions import parsers as P
 from noticelake.functions.headings import heading_column
-from noticelake.functions.keys import notice_number
+from noticelake.functions.keys import file_name, leading_section_number, notice_number, notice_type_token, snake_case
 from noticelake.functions.text import squeeze
 from noticelake.operators import bronze, deltas, envelope, sections
 from noticelake.operators import observability as obs
 from noticelake.profiles import PROFILES
 from noticelake.runtime import cut, table
-from noticelake.sources.tables import pending
+from noticelake.sources.tables import distinct_days, pending
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -454,3 +454,69 @@ def pending_set(spark: SparkSession, d: str) -> DataFrame:
 def year_scoped_index(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "common_envelope").where("publicationDateDay >= '2025-01-01' AND publicationDateDay < '2026-01-01'")
     return e.groupBy(F.substring("publicationDateDay", 1, 4).alias("year")).agg(F.countDistinct(notice_number("bzpNumber")).alias("n_numbers"))
+
+
+@_query(r"""
+WITH b AS (SELECT ingest_id, batch_no, nullif(regexp_replace(objectId, '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g'), '') AS k, coalesce(regexp_matches(htmlBody, '</html>\s*$'), false) AS ok FROM bronze_notices),
+r AS (SELECT *, row_number() OVER (PARTITION BY k, batch_no ORDER BY ingest_id) AS rn FROM b),
+taken AS (SELECT k, min(batch_no) AS day FROM r WHERE rn = 1 AND ok AND k IS NOT NULL GROUP BY 1)
+SELECT ingest_id, CASE WHEN k IS NULL THEN NULL WHEN rn > 1 THEN 'in_input' WHEN day < batch_no THEN 'known' END AS drop_reason FROM r LEFT JOIN taken USING (k)""")
+def bronze_running_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Batches as the days of a range, deduplicated one after the other against the valid ones before."""
+    b = table(spark, d, "bronze_notices")
+    return bronze.first_days(b, "objectId", "batch_no", ["ingest_id"], F.rtrim("htmlBody", F.lit(" \n\r\t")).endswith("</html>")).select("ingest_id", "drop_reason")
+
+
+@_query("WITH b AS (SELECT ingest_id, coalesce(substr(publicationDate, 1, 10) = '2026-02-24', false) AS here, nullif(objectId, '') AS k FROM bronze_notices), r AS (SELECT *, row_number() OVER (PARTITION BY here, k ORDER BY ingest_id) AS rn FROM b) SELECT ingest_id, CASE WHEN NOT here THEN 'other_day' WHEN k IS NOT NULL AND rn > 1 THEN 'duplicate' END AS drop_reason FROM r")
+def fetch_day_rows(spark: SparkSession, d: str) -> DataFrame:
+    return bronze.day_rows(table(spark, d, "bronze_notices"), "2026-02-24", "objectId", ["ingest_id"]).select("ingest_id", "drop_reason")
+
+
+# events as runs: a run a click of a user's day, its metric the event's value
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select(F.col("event_type").alias("layer"), F.col("ts").cast("date").cast("string").alias("target_date"), F.col("event_id").alias("run_id"), F.col("ts").alias("written_at"), F.lit("__all__").alias("notice_type"), F.lit("value").alias("metric_name"), F.col("value").alias("metric_value"))
+
+
+@_query("SELECT run_id, metric_value FROM (SELECT event_id AS run_id, value AS metric_value, row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
+def obs_latest_metrics(spark: SparkSession, d: str) -> DataFrame:
+    r = _runs(spark, d)
+    return obs.latest_metrics(r, r.select("layer", "target_date", "run_id", "written_at")).select("run_id", "metric_value")
+
+
+@_query("SELECT CAST(day AS VARCHAR) AS target_date, metric_value FROM (SELECT CAST(ts AS DATE) AS day, value AS metric_value, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE event_type = 'purchase') WHERE rn = 1 ORDER BY day DESC LIMIT 14")
+def obs_trend(spark: SparkSession, d: str) -> DataFrame:
+    return obs.trend(_runs(spark, d), "purchase", "value", 14)
+
+
+@_query("WITH e AS (SELECT objectId, organizationName, received_at AS at, row_number() OVER (PARTITION BY objectId ORDER BY received_at DESC, organizationName DESC NULLS LAST) AS rn FROM common_envelope) SELECT DISTINCT c.objectId AS object_id, c.section_2_1, e.organizationName AS organization FROM notice_update_core c LEFT JOIN e ON e.objectId = c.objectId AND rn = 1")
+def obs_merged_envelope(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "notice_update_core").select("objectId", "section_2_1")
+    e = table(spark, d, "common_envelope").select("objectId", "organizationName", F.col("received_at").alias("at"))
+    return obs.with_envelope(c, e, order=["at", "organizationName"]).select(F.col("objectId").alias("object_id"), "section_2_1", F.col("organizationName").alias("organization")).distinct()
+
+
+@_query(r"SELECT DISTINCT section_3_4_1_label AS label, nullif(regexp_extract(regexp_replace(section_3_4_1_label, '^[\s\x{a0}]+', ''), '^\d+([.]\d+)*', 0), '') AS number, coalesce(nullif(trim(regexp_replace(section_3_4_1_label, '[^A-Za-z0-9_.-]+', '_', 'g'), '_'), ''), '__EMPTY__') AS token, regexp_replace(section_3_4_1_label, '[^A-Za-z0-9._-]+', '_', 'g') AS file FROM notice_update_part_part WHERE section_3_4_1_label IS NOT NULL")
+def label_numbers_tokens(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "notice_update_part_part").select(F.col("section_3_4_1_label").alias("label")).where("label is not null").distinct()
+    return t.select("label", leading_section_number("label").alias("number"), notice_type_token("label").alias("token"), file_name("label").alias("file"))
+
+
+@_query(r"SELECT ingest_id, sha256(htmlBody) AS hash, lower(regexp_replace(noticeType, '([A-Z])', '_\1', 'g'))[2:] AS snake FROM bronze_notices")
+def html_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "bronze_notices").select("ingest_id", bronze.html_hash("htmlBody").alias("hash"), snake_case("noticeType").alias("snake"))
+
+
+@_query("SELECT DISTINCT publicationDateDay AS day FROM common_envelope WHERE publicationDateDay BETWEEN '2025-02-01' AND '2026-01-31' AND publicationDateDay LIKE '2025%'")
+def days_of_a_year(spark: SparkSession, d: str) -> DataFrame:
+    return distinct_days(table(spark, d, "common_envelope"), "2025-02-01", "2026-01-31", "2025")
+
+
+@_query(SQL["delta_wide"].replace("SELECT objectId AS object_id, \"column\"", ", w AS (SELECT objectId AS object_id, \"column\"") + """)
+SELECT object_id, CAST(max(CASE WHEN "column" = 'section_4_1_2' THEN value END) AS BIGINT) AS n_parts, max(CASE WHEN "column" = 'section_8_1' THEN value END) AS deadline, count(*) AS n_columns FROM w GROUP BY 1""")
+def delta_typed(spark: SparkSession, d: str) -> DataFrame:
+    """Typed columns of the deltas of contract notices and of results, those that changed."""
+    c, p, i, e = _notices(spark, d)
+    r = cut(deltas.build_deltas(c, p, i, deltas.number_index(e, deltas.years_referred(c)), list(PROFILES.values())))
+    t = deltas.typed_deltas(r, PROFILES["ContractNotice"]).unionByName(deltas.typed_deltas(r, PROFILES["TenderResultNotice"]), allowMissingColumns=True)
+    return t.where(F.size("changed_columns") > 0).select(F.col("objectId").alias("object_id"), F.col("section_4_1_2").alias("n_parts"), F.col("section_8_1").alias("deadline"), F.size("changed_columns").cast("bigint").alias("n_columns"))

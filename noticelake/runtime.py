@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +59,3 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if it has at most ``rows`` rows (counted); else leave the join to shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
-
-def default_sf() -> str:
-    return os.environ.get("NOTICELAKE_SF_DIR", "/root/testdata/sf0.001")

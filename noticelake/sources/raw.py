@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,22 @@ def _glob(spark: SparkSession, pattern: str) -> list:
     return list(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or [])
 
 
-def point_lookup(df: DataFrame, column: str, value: str) -> DataFrame:
-    """Rows where a column has a value, with the file each came from."""
-    return df.where(F.col(column) == value).withColumn("_source_file", F.col("_metadata.file_path"))
+def bronze_or_raw(spark: SparkSession, bronze: str, raw: str, start: str, end: str, layer: str = "auto") -> DataFrame:
+    """The notices of a range of days: from the bronze table, from the raw files, or with ``auto`` from bronze if it has a partition of these days, else from the raw files."""
+    from noticelake.sources.tables import partition_values
+    from noticelake.sources.tables import read_days as read_table
+
+    if layer not in ("auto", "raw", "bronze"):
+        raise ValueError(f"unknown layer: {layer}")
+    if layer == "bronze" or (layer == "auto" and any(d is not None and start <= d <= end for _, d in partition_values(spark, bronze, "noticeType", "publicationDateDay"))):
+        return read_table(spark, bronze, start, end)
+    rows = read_days(spark, raw, days_between(start, end))
+    return rows.withColumn("publicationDateDay", F.try_to_date(F.substring("publicationDate", 1, 10)).cast("string"))
+
+
+def days_between(start: str, end: str) -> list[str]:
+    """The ISO days of a range, both ends included; raises if it ends before it starts."""
+    a, b = date.fromisoformat(start), date.fromisoformat(end)
+    if b < a:
+        raise ValueError(f"{end} is before {start}")
+    return [(a + timedelta(days=k)).isoformat() for k in range((b - a).days + 1)]
