@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticelake.functions.text import blank, fold, let, squeeze, strip
-from noticelake.runtime import BROADCAST_ROWS, cut
+from noticelake.runtime import BROADCAST_ROWS, cut, small
 
 #: Typing errors a town may have; a swap of neighbours is one error.
 TOWN_ERRORS = 2
@@ -77,23 +77,21 @@ def map_values(values: DataFrame, aliases: DataFrame) -> DataFrame:
     """Map each typed value to the entry it means: (kind, value, ref_id), -1 if none is.
 
     ``values`` has (kind, value, forms, words, most): its normal forms, the best first, words that may name it by themselves, and the typing
-    errors it may have. ``aliases`` has (kind, ref_id, alias). A form that equals an alias decides, the first such form first; else the
-    fewest errors over all forms, if one entry alone has that few; else a word that equals aliases of one entry. Ties between
-    entries are reported as unmatched. Null and empty forms match nothing. What is found no way comes from an anti-join: no value is dropped.
+    errors it may have. ``aliases`` has (kind, ref_id, alias). All forms and words go through one ``pigeonhole_join``. A form without an error that one entry alone
+    has decides, the first such form first; else the fewest errors over all forms, if one entry alone has that few; else a word without an error, if all
+    such words are of one entry. Ties between entries are reported as unmatched. Null and empty forms match nothing. What is found no way comes from an anti-join: no value is dropped.
     """
-    forms = values.select("kind", "value", "most", F.posexplode("forms").alias("rank", "form")).where("form <> ''")
-    sure = aliases.groupBy("kind", "alias").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other")).where("ref_id = _other").drop("_other")
-    exact = cut(forms.join(sure.withColumnRenamed("alias", "form"), ["kind", "form"]).groupBy("kind", "value").agg(F.min_by("ref_id", "rank").alias("ref_id")))
-    rest = cut(values.join(exact, ["kind", "value"], "left_anti"))
-    left = rest.select("kind", "value", "most", F.explode("forms").alias("form")).where("form <> ''")
-    near = left.join(pigeonhole_join(left, aliases), ["kind", "form"]).where(F.col("err") <= F.least(F.col("most"), F.length("form") - 2))
-    near = near.groupBy("kind", "value", "ref_id").agg(F.min("err").alias("err")).groupBy("kind", "value", "err").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other"))
-    near = near.groupBy("kind", "value").agg(F.min(F.struct("err", "ref_id", "_other")).alias("b")).where("b.ref_id = b._other").select("kind", "value", F.lit(1).alias("way"), "b.ref_id")
-    word = rest.select("kind", "value", F.explode("words").alias("alias")).join(sure, ["kind", "alias"]).groupBy("kind", "value").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other"))
-    word = word.where("ref_id = _other").select("kind", "value", F.lit(2).alias("way"), "ref_id")
-    found = exact.unionByName(near.unionByName(word).groupBy("kind", "value").agg(F.min_by("ref_id", "way").alias("ref_id")))
-    found = cut(found)
-    missed = rest.select("kind", "value").join(found, ["kind", "value"], "left_anti").withColumn("ref_id", F.lit(-1).cast("bigint"))
+    forms = values.select("kind", "value", "most", F.posexplode("forms").alias("rank", "form"), F.lit(False).alias("word"))
+    words = values.select("kind", "value", F.lit(0).alias("most"), F.lit(0).alias("rank"), F.explode("words").alias("form"), F.lit(True).alias("word"))
+    every = cut(forms.unionByName(words).where("form <> ''"))
+    hits = every.join(pigeonhole_join(every, aliases), ["kind", "form"]).where((F.col("err") == 0) | (F.col("err") <= F.least(F.col("most"), F.length("form") - 2)))
+    way = lambda no, level: F.struct(F.lit(no).alias("way"), level.cast("int").alias("level"))
+    ways = F.when(F.col("word"), F.array(way(2, F.lit(0)))).when(F.col("err") == 0, F.array(way(0, F.col("rank")), way(1, F.lit(0)))).otherwise(F.array(way(1, F.col("err"))))
+    each = hits.select("kind", "value", "ref_id", F.inline(ways)).groupBy("kind", "value", "way", "level").agg(F.min("ref_id").alias("ref_id"), F.max("ref_id").alias("_other"))
+    # of forms without an error those of several entries are passed over, of errors only the fewest count
+    best = each.where("way <> 0 or ref_id = _other").groupBy("kind", "value", "way").agg(F.min_by(F.struct("ref_id", "_other"), "level").alias("b")).where("b.ref_id = b._other")
+    found = cut(best.groupBy("kind", "value").agg(F.min_by("b.ref_id", "way").alias("ref_id")))
+    missed = values.select("kind", "value").join(found, ["kind", "value"], "left_anti").withColumn("ref_id", F.lit(-1).cast("bigint"))
     return found.unionByName(missed)
 
 
@@ -151,19 +149,17 @@ def typed_places(envelope: DataFrame) -> DataFrame:
 def map_places(envelope: DataFrame, cities: DataFrame, countries: DataFrame) -> DataFrame:
     """(object_id, field_name, contractor_no, ref_id) of every typed town and country that is not written exactly as in its list; -1 where none is meant.
 
-    Rows are mapped through their distinct values. The lists are broadcast only if they are few (counted).
+    Rows are mapped through their distinct values. The lists, and the segments of their aliases, are broadcast only if they are few (counted).
     """
-    few = cities.count() + countries.count() <= BROADCAST_ROWS
-    hint = F.broadcast if few else lambda x: x
     town = F.col("field_name") != "contractorCountry"
     rows = typed_places(envelope).withColumn("kind", F.when(town, "town").otherwise("country"))
     listed = cities.select(F.lit("town").alias("kind"), F.col("city_name").alias("value")).unionByName(countries.select(F.lit("country").alias("kind"), F.col("country_code").alias("value")))
-    typed = rows.join(hint(listed), ["kind", "value"], "left_anti")
+    typed = rows.join(small(listed), ["kind", "value"], "left_anti")
     v = F.col("value")
     is_town = F.col("kind") == "town"
     values = cut(typed.select("kind", "value").distinct().select("kind", "value", F.when(is_town, town_forms(v)).otherwise(country_forms(v)).alias("forms"), F.when(is_town, F.array().cast("array<string>")).otherwise(country_words(v)).alias("words"), F.when(is_town, TOWN_ERRORS).otherwise(COUNTRY_ERRORS).alias("most")))
     aliases = cut(town_aliases(cities).withColumn("kind", F.lit("town")).unionByName(country_aliases(countries).withColumn("kind", F.lit("country"))))
-    mapping = map_values(values, hint(aliases))
+    mapping = map_values(values, small(aliases, BROADCAST_ROWS // SEGMENTS))
     return typed.join(mapping, ["kind", "value"]).select("object_id", "field_name", "contractor_no", "ref_id")
 
 
