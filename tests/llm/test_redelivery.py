@@ -1,7 +1,12 @@
 import random
+from pathlib import Path
 
+import pytest
+
+from noticelake.llm.queries import QUERIES
 from noticelake.llm.redelivery import beginning_keys, deduplicate_batch, edits_within, redelivered, segment_keys
 
+SF = Path("/root/testdata/sf0.001")
 SCHEMA = "ingest_id bigint, objectId string, publicationDate string, htmlBody string, text string, at string"
 
 
@@ -117,3 +122,9 @@ def test_ranges_of_batches_and_batches_taken_in_again(spark, rows, tmp_path):
     late = df.where("ingest_id >= 8")
     assert rows(deduplicate_batch(spark, late, store, "2")) == [r for r in want if r[1] >= 8]
     assert redelivered(df.limit(0), 2).count() == 0
+
+
+@pytest.mark.skipif(not (SF / "bronze_notices.parquet").exists(), reason="no test data")
+def test_batches_of_the_whole_table_give_the_same(spark, rows):
+    want = rows(QUERIES["p7_at_once"](spark, str(SF)))
+    assert want and rows(QUERIES["p7_found"](spark, str(SF))) == want
