@@ -356,14 +356,14 @@ _DAY = r"nullif(regexp_extract(after, '\d{4}-\d{2}-\d{2}', 0), '')"
       WHEN how = 'datetime' THEN coalesce(nullif(regexp_replace(regexp_extract(after, '\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}', 0), '[T ]', 'T'), ''), {_DAY}) ELSE after END AS value
       FROM i JOIN c USING (objectId) JOIN idx USING (bzp_number) JOIN how USING (number) WHERE how.kind = target_type),
     last AS (SELECT *, row_number() OVER (PARTITION BY objectId, "column" ORDER BY part_ordinal DESC NULLS LAST, part_part_ordinal DESC NULLS LAST, after DESC NULLS LAST) AS rn FROM m)
-    SELECT objectId AS object_id, "column", value, coalesce(how <> '' AND value IS NULL AND NOT regexp_full_match(after, '[\s\x{{a0}}]*'), false) AS failed FROM last WHERE rn = 1"""
+    SELECT objectId AS object_id, "column" AS changed_column, value, coalesce(how <> '' AND value IS NULL AND NOT regexp_full_match(after, '[\s\x{{a0}}]*'), false) AS failed FROM last WHERE rn = 1"""
 )
 def delta_wide(spark: SparkSession, d: str) -> DataFrame:
     """Typed values that updates change, and whether the text could not be read."""
     c, p, i, e = _notices(spark, d)
     r = deltas.build_deltas(c, p, i, deltas.number_index(e, deltas.years_referred(c)), list(PROFILES.values()))
     bad = F.coalesce(F.map_contains_key(F.from_json("parse_errors", "map<string,string>"), F.col("column")), F.lit(False))
-    return r.select(F.col("objectId").alias("object_id"), "parse_errors", F.explode("changed").alias("column", "value")).select("object_id", "column", "value", bad.alias("failed"))
+    return r.select(F.col("objectId").alias("object_id"), "parse_errors", F.explode("changed").alias("column", "value")).select("object_id", F.col("column").alias("changed_column"), "value", bad.alias("failed"))
 
 
 @_query("SELECT o_custkey AS cust, max(o_orderkey) AS last_order FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1 GROUP BY 1")
@@ -513,7 +513,7 @@ def days_of_a_year(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(SQL["delta_wide"].replace("SELECT objectId AS object_id, \"column\"", ", w AS (SELECT objectId AS object_id, \"column\"") + """)
-SELECT object_id, CAST(max(CASE WHEN "column" = 'section_4_1_2' THEN value END) AS BIGINT) AS n_parts, max(CASE WHEN "column" = 'section_8_1' THEN value END) AS deadline, count(*) AS n_columns FROM w GROUP BY 1""")
+SELECT object_id, CAST(max(CASE WHEN changed_column = 'section_4_1_2' THEN value END) AS BIGINT) AS n_parts, max(CASE WHEN changed_column = 'section_8_1' THEN value END) AS deadline, count(*) AS n_columns FROM w GROUP BY 1""")
 def delta_typed(spark: SparkSession, d: str) -> DataFrame:
     """Typed columns of the deltas of contract notices and of results, those that changed."""
     c, p, i, e = _notices(spark, d)
