@@ -48,28 +48,47 @@ def words(name: Column) -> Column:
     return F.array_distinct(F.transform(tokens, lambda w: F.when(w.endswith("_"), w).otherwise(F.coalesce(F.try_element_at(nick, w), w))))
 
 
-def word_fit(t: Column, u: Column, initials: Column) -> Column:
-    """Log-likelihood of writing ``t`` for ``u``, or for words of a name with these ``initials``; null if it can't be meant."""
+def word_fit(t: Column, u: Column) -> Column:
+    """Log-likelihood of writing ``t`` for the word ``u``; null if it can't be meant."""
     letters = t.rlike(r"^\p{L}+$")
     cutoff = (F.length(t) >= 3) & u.startswith(t) | (F.length(u) >= 3) & t.startswith(u)
     edits = F.levenshtein(t, u, EDITS)
     typo = (edits >= 0) & (F.least(F.length(t), F.length(u)) >= 2 + edits) & letters
-    by_initials = letters & F.length(t).between(2, 5) & (initials.contains(t) | initials.contains(F.replace(t, F.lit("i"), F.lit(""))))
-    return F.when(t == u, 0.0).when(t.endswith("_") | u.endswith("_"), F.when(F.substring(t, 1, 1) == F.substring(u, 1, 1), SHORT)).when(letters & (cutoff | by_initials), SHORT).when(typo, EDIT * edits)
+    return F.when(t == u, 0.0).when(t.endswith("_") | u.endswith("_"), F.when(F.substring(t, 1, 1) == F.substring(u, 1, 1), SHORT)).when(letters & cutoff, SHORT).when(typo, EDIT * edits)
 
 
 def name_fit(s: Column, c: Column) -> Column:
-    """Log-likelihood that a name of words ``s`` is written for one of words ``c``; null if a word or number of ``s`` has none to stand for."""
+    """Log-likelihood that a name of words ``s`` is written for one of words ``c``; null if a word or number of ``s`` has none to stand for.
+
+    Every word of ``c`` is written once: one that ``s`` has too is that one, and words of ``s`` that the same few words explain are at most as many as these.
+    Only letters for several words (``PPH``) take none away. A bare initial of ``c`` explains a word of ``s`` if the longest word of one name, the one that tells
+    most, is written out in the other.
+    """
     numeric = lambda ws: F.filter(ws, lambda w: w.rlike(r"^\p{N}+$"))
     initials = F.array_join(F.transform(c, lambda w: F.substring(w, 1, 1)), "")
-
-    def total(init: Column) -> Column:
-        best = F.transform(s, lambda t: F.when(t.rlike(r"^\p{N}+$"), F.when(F.array_contains(c, t), 0.0)).otherwise(F.array_max(F.transform(c, lambda u: word_fit(t, u, init)))))
-        sums = F.aggregate(best, F.lit(0.0), lambda a, x: a + x)
-        return sums + OMITTED * F.greatest(F.size(c) - F.size(s), F.lit(0))
+    by_initials = lambda t: t.rlike(r"^\p{L}{2,5}$") & (initials.contains(t) | initials.contains(F.replace(t, F.lit("i"), F.lit(""))))
+    bare = lambda t: t.endswith("_")
+    most = lambda ws: F.coalesce(F.array_max(F.transform(F.filter(ws, lambda w: w.rlike(r"^\p{L}+$")), F.length)), F.lit(0))
+    rest = F.array_except(c, s)
+
+    def explained(t: Column) -> Column:
+        fits = F.filter(F.transform(rest, lambda u: F.struct(word_fit(t, u).alias("fit"), u.alias("u"))), lambda e: e["fit"].isNotNull())
+        alone = lambda f: F.when(~bare(t) & ~by_initials(t) & F.forall(f, lambda e: bare(e["u"])), t)
+        return let(
+            fits, lambda f: F.struct(F.greatest(F.array_max(f)["fit"], F.when(by_initials(t), SHORT)).alias("fit"), F.when(~by_initials(t), F.transform(f, lambda e: e["u"])).alias("by"), alone(f).alias("alone"))
+        )
+
+    def total(each: Column) -> Column:
+        by = F.filter(F.transform(each, lambda e: e["by"]), lambda ws: ws.isNotNull())
+        enough = lambda ways: F.forall(ways, lambda o: F.size(F.filter(ways, lambda ws: F.size(F.array_except(ws, o)) == 0)) <= F.size(o)) & (F.size(F.array_distinct(F.flatten(ways))) >= F.size(ways))
+        alone = F.filter(F.transform(each, lambda e: e["alone"]), lambda t: t.isNotNull())
+        written = lambda u: F.exists(s, lambda t: ~bare(t) & word_fit(t, u).isNotNull())
+        told = (F.size(alone) == 0) | (most(F.array_except(s, alone)) >= most(alone)) | F.exists(c, lambda u: (F.length(u) == most(c)) & ~bare(u) & written(u))
+        sums = F.aggregate(each, F.lit(0.0), lambda a, e: a + e["fit"])
+        return F.when(let(by, enough) & told, sums + OMITTED * F.greatest(F.size(c) - F.size(s), F.lit(0)))
 
     ok = (F.size(F.array_except(numeric(s), numeric(c))) == 0) & ((F.size(numeric(s)) > 0) | (F.size(numeric(c)) == 0) | (F.size(s) < F.size(c)))
-    return F.when(ok, let(initials, total))
+    return F.when(ok, let(F.transform(F.array_except(s, c), explained), total))
 
 
 def spellings(envelope: DataFrame) -> DataFrame:

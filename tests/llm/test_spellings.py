@@ -76,3 +76,30 @@ def test_every_candidate_that_explains_a_name_is_found(spark):
         return x
 
     assert {r.name: r.root for r in attribute(t).collect()} == {x: root(x) for x in names} and len(best) > 40
+
+
+def test_a_word_of_a_candidate_stands_for_one_word(spark):
+    cases = [
+        ("Firma Transportowa FUFUZORAMATRANS", "F. Transp. „Fufuzoramatrans” Zorzyn", True),
+        ("Firma Transportowa FALADASALATECH", "F. Transp. „Fufuzoramatrans” Zorzyn", False),
+        ("Zakład Remontowo-Budowlany KUKEPEFOKOBUD", "Zakł. Rem.-Bud. „Kukepefokobud” oddział", True),
+        ("Zakład Remontowo-Budowlany REMOSEGASABUD", "Zakł. Rem.-Bud. „Kukepefokobud” oddział", False),
+        ("J. Kowalsky", "Jan Kowalski", True),
+        ("K. Kowalsky", "Jan Kowalski", False),
+        ("K. Kowalski", "Jan Kowalski", False),
+        ("A. Hana Nowak", "Anna Hanna Nowak", True),
+        ("PPH Dana", "Przedsiębiorstwo Produkcyjno-Handlowe Dana", True),
+        ("Zakład Leporanuczyk", "Z. Stolarski Józef Leporanuczyk", True),
+        ("Zakład Stolarski Zenobiusz Leporanuczyk", "Zakład Stolarski Z. Leporanuczyk Zorzyn", True),
+        ("Usługi Geodezyjne M. Samatasupeczyk", "Usługi Geodezyjne S. Mokasabefocki", False),
+        ("Kosofeboletech Zorzyn", "Usługi Geodezyjne K. Topeganagucka Zorzyn", False),
+    ]
+    t = spark.createDataFrame(cases, "a string, b string, fits boolean").select("a", "b", "fits", name_fit(words(F.col("a")), words(F.col("b"))).isNotNull().alias("got"))
+    assert [(r.a, r.b) for r in t.collect() if r.got != r.fits] == []
+
+
+def test_a_candidate_with_an_initial_does_not_gather_others(spark, rows):
+    firms = [f"Firma Transportowa {x}" for x in ("FALADASALATECH", "FALUDAKEWUMED", "FANOLENOSOX", "FUFUZORAMATRANS")] + [f"Pracownia Projektowa Katarzyna {x}" for x in ("Kifozefekoczyk", "Kunatutowocka", "Dudokinutucka")]
+    hubs = {"F. Transp. „Fufuzoramatrans” Zorzyn": "Firma Transportowa FUFUZORAMATRANS", "Pracownia Projektowa K. Dudokinutucka Zorzyn": "Pracownia Projektowa Katarzyna Dudokinutucka"}
+    root = dict(rows(attribute(spark.createDataFrame([(n, 5) for n in firms] + [(h, 1) for h in hubs], "name string, freq bigint"))))
+    assert all(root[h] == root[n] for h, n in hubs.items()) and len(set(root.values())) == len(firms)
