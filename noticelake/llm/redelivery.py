@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,10 +105,10 @@ def _buckets(at: Column, width: int) -> Column:
 
 
 def _groups(r: DataFrame) -> DataFrame:
-    """(group, ingest_id): deliveries of one group are one version for certain: one objectId or one content, at one time."""
+    """(ingest_id, new, group): deliveries of one group are one version for certain: one objectId or one content, at one time. The group is null for what has neither."""
     by_id = F.transform(_buckets(F.col("at"), 2 * SAME_ID_APART * SECOND), lambda b: F.when(F.col("oid").isNotNull(), F.xxhash64(F.lit("id"), "oid", b)))
     by_text = F.transform(_buckets(F.col("at"), _BUCKET), lambda b: F.when(F.col("content").isNotNull() & F.col("at").isNotNull(), F.xxhash64(F.lit("text"), "content", b)))
-    return r.select("ingest_id", F.explode(F.filter(F.concat(by_id, by_text), lambda g: g.isNotNull())).alias("group"))
+    return r.select("ingest_id", "new", F.explode_outer(F.filter(F.concat(by_id, by_text), lambda g: g.isNotNull())).alias("group"))
 
 
 def _same_length(i: int, j: int, a: str, b: str) -> int:
@@ -154,16 +154,15 @@ def _candidates(r: DataFrame) -> DataFrame:
 
     Of equal texts of one slot the first stands for all, apart by whether their pages show a cut and by whether they are new. Entries are stored under both slots of
     the time they were published in and probed under one, so that texts repeated over the years never meet. Known texts' segments are never probed with: new ones meet them from
-    their side.
+    their side. Both sorts of entries go through one join, as their keys never meet.
     """
     first = r.where("content is not null and at is not null").groupBy("content", "shown", "new", F.floor(F.col("at") / _BUCKET).alias("slot")).agg(F.min_by(F.struct("ingest_id", "at", "stored", "probed", "whole", "part"), "ingest_id").alias("r")).select("new", "r.*")
     slots = F.array_distinct(F.array(F.floor((F.col("at") - APART * SECOND) / _BUCKET), F.floor((F.col("at") + APART * SECOND) / _BUCKET)))
-    kept = lambda keys: F.flatten(F.transform(slots, lambda s: F.transform(keys, lambda k: F.xxhash64(k, s))))
-    asked = lambda keys: F.transform(keys, lambda k: F.xxhash64(k, F.floor(F.col("at") / _BUCKET)))
-    side = lambda rows, keys, name: rows.select(F.explode(keys).alias("key"), F.col("ingest_id").alias(name), F.col("new").alias(f"new_{name}"))
-    near = side(first, kept("stored"), "a").join(side(first.where("new"), asked("probed"), "b"), "key")
-    off = side(first, kept("part"), "a").join(side(first, asked("whole"), "b"), "key").where("new_a or new_b")
-    return near.unionByName(off).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    kept = F.flatten(F.transform(slots, lambda s: F.transform(F.concat("stored", "part"), lambda k: F.xxhash64(k, s))))
+    asked = F.transform(F.concat(F.when(F.col("new"), F.col("probed")).otherwise(F.array()), "whole"), lambda k: F.xxhash64(k, F.floor(F.col("at") / _BUCKET)))
+    side = lambda keys, name: first.select(F.explode(keys).alias("key"), F.col("ingest_id").alias(name), F.col("new").alias(f"new_{name}"))
+    met = side(kept, "a").join(side(asked, "b"), "key").where("(new_a or new_b) and a <> b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _near(r: DataFrame) -> DataFrame:
@@ -181,31 +180,36 @@ def _near(r: DataFrame) -> DataFrame:
     p = cut(p.select("a", "b", "apart", "more", _beginnings_apart("ta", "tb").alias("edits"), by_length(F.col("shown_a"), F.col("shown_b")).alias("shown"))).where("edits >= 0")
     alike = F.col("more").between(-EDITS, EDITS)
     off = p.where(~alike & F.col("shown")).select("a", "b", "edits", "apart", by_length(F.col("a"), F.col("b")).alias("part"), by_length(F.col("b"), F.col("a")).alias("whole"))
-    off = off.join(off.groupBy("part").agg(F.min_by("whole", F.struct("edits", "apart", "whole")).alias("likeliest")), "part")
+    off = off.withColumn("likeliest", F.min(F.struct("edits", "apart", "whole")).over(Window.partitionBy("part"))["whole"])
     others = off.where("whole <> likeliest").select("a", "b", "whole", "likeliest").join(side("whole"), "whole").join(side("likeliest"), "likeliest").withColumn("edits", _beginnings_apart("twhole", "tlikeliest")).where("edits >= 0")
     return p.where(alike).unionByName(off.where("whole = likeliest"), allowMissingColumns=True).unionByName(others, allowMissingColumns=True).select("a", "b")
 
 
-def link(r: DataFrame) -> DataFrame:
-    """(ingest_id, first_id) of the deliveries that share a version with a new one: the first record of each set of linked records, of known ones the first they were linked to.
+def link(r: DataFrame, known: DataFrame) -> DataFrame:
+    """(ingest_id, first_id, new) of the deliveries that share a version with a new one: the first record of each set of linked records, of known ones the first they were linked to.
 
-    ``r`` has the columns of ``records``, ``new`` and ``known_first`` (null for new ones). Labels go through the groups, each round also from a label to that record's own,
-    until none changes; only groups with a new record and another take part, so that the loop works on the repeated deliveries alone.
+    ``r`` has the columns of ``records`` and ``new``, ``known`` the ``first`` of each known ``ingest_id`` that has one. Labels go through the groups until each group has one, that of
+    its record too; while some have several, a round takes each label to its own record's and then through the groups again. Only groups with a new record and another take part, so that the loop works on the
+    repeated deliveries alone. What a record or a group has in common is found by windows rather than joins: each exchange of a plan costs the driver memory, whatever the size of the tables.
     """
-    g = _groups(r).unionByName(_near(r).select(F.xxhash64(F.lit("near"), "a", "b").alias("group"), F.explode(F.array("a", "b")).alias("ingest_id")))
-    who = r.select("ingest_id", "new", F.coalesce("known_first", "ingest_id").alias("own")).distinct()
-    g = g.join(who, "ingest_id")
-    several = g.groupBy("group").agg(F.min("ingest_id").alias("least"), F.max("ingest_id").alias("most"), F.max("new").alias("new")).where("least < most and new").select("group")
-    g = cut(g.join(several, "group", "left_semi").distinct())
-    labels = g.groupBy("ingest_id").agg(F.min("own").alias("first_id"))
-    while True:
-        best = g.join(labels, "ingest_id").groupBy("group").agg(F.min("first_id").alias("first_id"))
-        spread = g.join(best, "group").groupBy("ingest_id").agg(F.min("first_id").alias("first_id"))
-        up = spread.select(F.col("ingest_id").alias("first_id"), F.col("first_id").alias("further"))
-        new = cut(spread.join(up, "first_id", "left").join(labels.withColumnRenamed("first_id", "old"), "ingest_id").select("ingest_id", F.least("first_id", "further").alias("first_id"), "old"))
-        labels = new.select("ingest_id", "first_id")
-        if new.where("first_id <> old").isEmpty():
-            return labels
+    near = _near(r).select(F.explode(F.array("a", "b")).alias("ingest_id"), F.xxhash64(F.lit("near"), "a", "b").alias("group"))
+    g = _groups(r).unionByName(near, allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
+    of_id, of_group = Window.partitionBy("ingest_id"), Window.partitionBy("group")
+    # a record may be new and known; first counts for what is known in r
+    g = g.select("ingest_id", "group", F.max("new").over(of_id).alias("new"), (~F.min("new").over(of_id)).alias("old"), F.min("first").over(of_id).alias("first")).where("group is not null")
+    g = g.select("ingest_id", "group", "new", F.least(F.when(F.col("new"), F.col("ingest_id")), F.coalesce(F.when(F.col("old"), F.col("first")), "ingest_id")).alias("first_id"))
+    several = (F.min("ingest_id").over(of_group) < F.max("ingest_id").over(of_group)) & F.max("new").over(of_group)
+    g = g.withColumns({"several": several, "first_id": F.min("first_id").over(of_group)}).where("several").select("ingest_id", "group", "new", "first_id").distinct()
+    spread = lambda rows: rows.withColumn("first_id", F.min("first_id").over(of_id))
+    g = cut(spread(g))
+    # a record's label and its name as a label must be the same too: a known one's first may have been linked further
+    named = lambda kind, name: F.struct(F.lit(kind).alias("kind"), F.col(name).alias("of"))
+    labels = lambda: g.select(F.explode(F.array(named("group", "group"), named("record", "ingest_id"), named("record", "first_id"))).alias("k"), "first_id")
+    while not labels().groupBy("k.kind", "k.of").agg(F.min("first_id").alias("least"), F.max("first_id").alias("most")).where("least < most").isEmpty():
+        up = g.select(F.col("ingest_id").alias("first_id"), F.col("first_id").alias("further")).distinct()
+        g = g.join(up, "first_id", "left").select("ingest_id", "group", "new", F.least("first_id", "further").alias("first_id"))
+        g = cut(spread(g.withColumn("first_id", F.min("first_id").over(of_group))))
+    return g.select("ingest_id", "first_id", "new").distinct()
 
 
 def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str, label: str | None = None) -> DataFrame:
@@ -232,12 +236,9 @@ def deduplicate_batch(spark: SparkSession, batch: DataFrame, store: str, label:
     mine = F.col("batch") == label
     new = index.where(mine)
     weeks = sorted({w + k for r in new.select(F.col("week").cast("int").alias("w")).distinct().collect() for w in (r.w,) for k in (-1, 0, 1)})
-    every = new.select(*columns, F.lit(True).alias("new"), F.lit(None).cast("bigint").alias("known_first"))
-    old = index.where(~mine & F.col("week").cast("int").isin(weeks)).select(*columns, F.lit(False).alias("new"))
-    known = spark.read.parquet(firsts).where(~mine).select("ingest_id", F.col("first").alias("known_first")) if _exists(spark, firsts) else spark.createDataFrame([], "ingest_id bigint, known_first bigint")
-    every = every.unionByName(old.join(known, "ingest_id", "left"))
-    linked = link(every).where("ingest_id <> first_id").withColumnRenamed("first_id", "first")
-    result = cut(new.select("ingest_id").distinct().join(linked, "ingest_id"))
+    every = new.select(*columns, F.lit(True).alias("new")).unionByName(index.where(~mine & F.col("week").cast("int").isin(weeks)).select(*columns, F.lit(False).alias("new")))
+    known = spark.read.parquet(firsts).where(~mine).select("ingest_id", "first") if _exists(spark, firsts) else spark.createDataFrame([], "ingest_id bigint, first bigint")
+    result = cut(link(every, known).where("new and ingest_id <> first_id").select("ingest_id", F.col("first_id").alias("first")))
     append(result.withColumn("batch", F.lit(label)), firsts, ["batch"])
     return result.select(F.col("first").alias("ingest_id_a"), F.col("ingest_id").alias("ingest_id_b"))
 

@@ -124,6 +124,41 @@ def test_ranges_of_batches_and_batches_taken_in_again(spark, rows, tmp_path):
     assert redelivered(df.limit(0), 2).count() == 0
 
 
+def test_labels_go_along_chains_and_through_firsts_of_earlier_batches(spark, rows, tmp_path):
+    rnd, at = random.Random(9), "2026-01-0{}T10:00:00Z".format
+    ids, texts, data = list(range(1, 61)), [body(rnd, 8) for _ in range(32)], []
+    rnd.shuffle(ids)
+    # two chains, each record of one objectId with the one before and of one text with the one after
+    for k, i in enumerate(ids):
+        data.append((i, f"{k // 2}", at(1 + k // 40), texts[(k + 1) // 2 + k // 40], None, ""))
+    want = [(min(c), i) for c in (ids[:40], ids[40:]) for i in c if i != min(c)]
+    assert rows(redelivered(spark.createDataFrame(data, SCHEMA))) == sorted(want, key=repr)
+    # 20 shares a version with 10, known to repeat 5, which 21 shows to repeat 2
+    early = [(2, "y", at(1), None, None, ""), (5, "x", at(1), texts[0], None, ""), (10, "x", at(1), texts[1], None, "")]
+    late = [(20, "z", at(1), texts[1], None, ""), (21, "y", at(1), texts[0], None, "")]
+    store = str(tmp_path / "s")
+    assert rows(deduplicate_batch(spark, spark.createDataFrame(early, SCHEMA), store)) == [(5, 10)]
+    assert rows(deduplicate_batch(spark, spark.createDataFrame(late, SCHEMA), store)) == [(2, 20), (2, 21)]
+
+
+def test_a_batch_plans_few_exchanges(spark, tmp_path):
+    """Each exchange has a thread, plans and compiled code in the driver, whatever the size of the batch."""
+    bus, seen = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    store, d = str(tmp_path / "s"), deliveries()
+
+    def exchanges():
+        bus.waitUntilEmpty(30_000)
+        ran = seen.executionsList()
+        graphs = [seen.planGraph(ran.apply(i).executionId()).allNodes() for i in range(ran.size())]
+        return sum(g.apply(i).name() in ("Exchange", "BroadcastExchange") for g in graphs for i in range(g.size()))
+
+    before = exchanges()
+    deduplicate_batch(spark, spark.createDataFrame(d[:6], SCHEMA), store)
+    first = exchanges() - before
+    deduplicate_batch(spark, spark.createDataFrame(d[6:], SCHEMA), store)
+    assert first <= 25 and exchanges() - before - first <= 25
+
+
 @pytest.mark.skipif(not (SF / "bronze_notices.parquet").exists(), reason="no test data")
 def test_batches_of_the_whole_table_give_the_same(spark, rows):
     want = rows(QUERIES["p7_at_once"](spark, str(SF)))
